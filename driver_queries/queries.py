@@ -200,7 +200,7 @@ def encoded(spark, sf_dir):
     labels = models.fit_category_labels(gaps, ROLES)
     coded = gaps
     for name in ROLES.categories:
-        coded = encoding.apply_labels(coded, name, labels[name], f"{name}_code")
+        coded = encoding.apply_labels(coded, labels, name, f"{name}_code")
     return coded, labels
 
 
@@ -211,8 +211,8 @@ def label_encode(spark, sf_dir):
 def label_decode(spark, sf_dir):
     coded, labels = encoded(spark, sf_dir)
     plain = coded.select("occ_id", "region_code", "locality_code")
-    named = encoding.decode_labels(plain, "region_code", labels["region"], "region")
-    return encoding.decode_labels(named, "locality_code", labels["locality"], "locality")
+    named = encoding.decode_labels(plain, labels, "region", "region_code", "region")
+    return encoding.decode_labels(named, labels, "locality", "locality_code", "locality")
 
 
 def standardize(spark, sf_dir):
@@ -274,7 +274,8 @@ def measure_medians(spark, sf_dir):
 
 
 def error_heat(spark, sf_dir):
-    return rounded(evaluation.error_heat(scored(spark, sf_dir), ROLES), ["erro_abs", "weight"])
+    points = settle(evaluation.complete_points(scored(spark, sf_dir), ROLES), "points")
+    return rounded(evaluation.error_heat(points, ROLES), ["erro_abs", "weight"])
 
 
 # --- profile -----------------------------------------------------------------

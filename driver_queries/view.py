@@ -17,8 +17,18 @@ ROLES = Roles(
 )
 
 
+# Declared, so that no job reads file footers just to learn the columns.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:

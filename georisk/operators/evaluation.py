@@ -110,11 +110,12 @@ def complete_points(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 def error_heat(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Points weighted by their error over the largest error."""
+    """Points weighted by their error over the largest error.
+
+    ``df`` is read twice, so pass a written table if its predictions are costly.
+    """
     points = complete_points(df, roles).select(
         roles.lat, roles.lon,
         S.absolute_error(roles.risk, roles.prediction).cast("double").alias("erro_abs"),
     )
-    largest = points.agg(F.max("erro_abs")).scalar()
-    weight = share_of_largest(F.col("erro_abs"), largest, 0.0)
-    return points.withColumn("weight", weight)
+    return share_of_largest(points, points, "erro_abs", "weight", 0.0)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from georisk.functions.scalars import any_of
 from georisk.workspace import settle
@@ -16,13 +17,18 @@ HOT_SHARE = 0.002  # at most 1 / HOT_SHARE keys can hold more than this share
 _HOT = "__hot"
 
 
-def table_bytes(table: DataFrame) -> int:
-    """Size of a table once it is unpacked in memory, measured, not guessed."""
+def row_bytes(table: DataFrame) -> Column:
+    """Size of a row once it is unpacked in memory."""
     texts = [f.name for f in table.schema.fields if isinstance(f.dataType, T.StringType)]
-    width = ROW_OVERHEAD + 8 * len(table.columns)
-    text = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(0))
-    size = table.agg(F.sum(text + F.lit(width)).cast("long").alias("size")).first()["size"]
-    return int(size or 0)
+    fixed = F.lit(ROW_OVERHEAD + 8 * len(table.columns)).cast("long")
+    return reduce(
+        lambda total, name: total + F.coalesce(F.octet_length(name), F.lit(0)), texts, fixed
+    )
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Size of a table, measured, not guessed."""
+    return table.agg(F.sum(row_bytes(table)).alias("size")).first()["size"] or 0
 
 
 def lookup(
@@ -30,20 +36,20 @@ def lookup(
     table: DataFrame,
     on: Sequence[str],
     how: str = "left",
+    size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    settled: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which holds at most one row per key.
 
-    The table is written once and measured. Within ``broadcast_bytes`` it is
-    sent to every executor and ``rows`` are not shuffled. Beyond it, see
-    ``hot_key_join``. Pass ``settled=True`` for a table that already is a
-    written one.
+    Without a measured ``size`` the table is written once and measured. Within
+    ``broadcast_bytes`` it is sent to every executor and ``rows`` are not
+    shuffled. Beyond it, see ``hot_key_join``.
     """
     on = list(on)
-    if not settled:
+    if size is None:
         table = settle(table, "lookup")
-    if table_bytes(table) <= broadcast_bytes:
+        size = table_bytes(table)
+    if size <= broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
     return hot_key_join(rows, table, on, how)
 

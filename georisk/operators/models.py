@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, functions as F
 from georisk.functions.scalars import clip, round_half_even
 from georisk.operators.calendar import feature_names, feature_table, project_features
 from georisk.operators.cleaning import require_rows
-from georisk.operators.encoding import fit_labels
+from georisk.operators.encoding import Labels, fit_labels
 from georisk.operators.sampling import split_by_key
 from georisk.operators.scaling import standardize
 from georisk.roles import DEFAULT_ROLES, Roles
-from georisk.workspace import settle
+from georisk.workspace import settle, spread
 
 # Settings of the published model and of the cluster sweep.
 TREES = 200
@@ -38,19 +38,18 @@ _ROW_KEY = "__row_key"
 class ModelBundle:
     """Everything needed to score a table.
 
-    ``stages`` turn features into ``prediction``; ``labels`` hold a (label,
-    code) table per category; ``cluster_risk`` optionally maps a predicted
-    cluster to a risk share.
+    ``stages`` turn features into ``prediction``; ``labels`` hold the category
+    codes; ``cluster_risk`` optionally maps a predicted cluster to a risk share.
     """
 
     stages: PipelineModel
     features: list[str]
-    labels: Mapping[str, DataFrame] = field(default_factory=dict)
+    labels: Labels
     cluster_risk: DataFrame | None = None
 
 
-def fit_category_labels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> dict[str, DataFrame]:
-    return {name: fit_labels(df, name) for name in roles.categories if name in df.columns}
+def fit_category_labels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Labels:
+    return fit_labels(df, [name for name in roles.categories if name in df.columns])
 
 
 def scaled_vector(features: list[str]) -> list:
@@ -70,7 +69,6 @@ def train_forest(
     train_share: float = TRAIN_SHARE,
     key: str | None = None,
     max_bins: int = 64,
-    labels: Mapping[str, DataFrame] | None = None,
 ) -> ModelBundle:
     """Fit the risk forest on the training part of a history.
 
@@ -78,14 +76,14 @@ def train_forest(
     read it again. Without a row key the split is by a hash of the whole row.
     """
     require_rows(history, "history")
-    labels = fit_category_labels(history, roles) if labels is None else labels
+    labels = fit_category_labels(history, roles)
     names = feature_names(history.drop(key) if key else history, roles)
     split_key = F.col(key) if key else F.xxhash64(*sorted(history.columns))
     train, _ = split_by_key(
         history.withColumn(_ROW_KEY, split_key), _ROW_KEY, train_share, seed
     )
     table = feature_table(train, labels, roles)
-    train_rows = settle(project_features(table, names, [roles.risk]), "train")
+    train_rows = spread(settle(project_features(table, names, [roles.risk]), "train"))
     forest = RandomForestRegressor(
         featuresCol="__scaled", labelCol=roles.risk, predictionCol="prediction",
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=1,
@@ -108,7 +106,7 @@ def train_clusters(
     labels = fit_category_labels(history, roles)
     names = feature_names(history.drop(key) if key else history, roles)
     table = feature_table(history, labels, roles)
-    rows = settle(project_features(table, names, [roles.risk]), "train")
+    rows = spread(settle(project_features(table, names, [roles.risk]), "train"))
     means = KMeans(
         featuresCol="__scaled", predictionCol="prediction", k=k, seed=seed,
         maxIter=SWEEP_ITERATIONS,
@@ -163,7 +161,7 @@ def kmeans_sweep(
     """
     scaled = standardize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(scaled)
-    rows = settle(vectors.select("features"), "scaled").persist()
+    rows = spread(settle(vectors.select("features"), "scaled")).persist()
     evaluator = ClusteringEvaluator(metricName="silhouette")
     found = []
     for k in ks:

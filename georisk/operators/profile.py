@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from georisk.functions import scalars as S
 from georisk.functions.scalars import nan_to_null
-from georisk.operators.cleaning import as_timestamp, drop_missing
+from georisk.operators.cleaning import as_timestamp, drop_missing, present
+from georisk.operators.lookup import row_bytes
 from georisk.operators.ordering import global_rank
 from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.workspace import settle
@@ -64,11 +67,15 @@ def top_hotspots(ranked: DataFrame, places: int) -> DataFrame:
     return ranked.filter(F.col("rank") < hotspot_pool(places))
 
 
-def bounding_box(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+def bounding_box(
+    df: DataFrame, roles: Roles = DEFAULT_ROLES, more: Sequence[Column] = ()
+) -> DataFrame:
+    """Bounds of all places, with ``more`` aggregates taken in the same pass."""
     lat, lon = nan_to_null(roles.lat), nan_to_null(roles.lon)
     return df.agg(
         F.min(lat).alias("lat_min"), F.max(lat).alias("lat_max"),
         F.min(lon).alias("lon_min"), F.max(lon).alias("lon_max"),
+        *more,
     )
 
 
@@ -93,14 +100,16 @@ def edge_days(df: DataFrame, time: str, each: int = 3) -> DataFrame:
 
 @dataclass(frozen=True)
 class Profile:
-    """The written profile tables of one history."""
+    """What a scenario needs of one history, with the sizes already measured."""
 
     rows: int
-    shares: DataFrame  # month, count, share
+    shares: DataFrame  # month, count, share; at most 12 rows
     stats: DataFrame  # month, region, mean of each measure
+    stats_size: int
     places: DataFrame  # place columns, frequency, rank
+    places_size: int
     place_count: int
-    bounds: DataFrame  # one row
+    bounds: Row  # lat_min, lat_max, lon_min, lon_max
 
 
 def profile_history(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Profile:
@@ -120,17 +129,31 @@ def profile_history(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Profile:
     by_place = settle(
         df.groupBy(*roles.place).agg(F.count(F.lit(1)).alias(roles.frequency)), "places"
     )
-    known_month = by_region.filter(F.col(roles.month).isNotNull())
-    monthly = known_month.groupBy(roles.month).agg(F.sum("count").alias("count"))
-    known = hotspot_rank(drop_missing(by_place, roles.place), roles)
-    places = settle(known, "ranked-places")
+    months = by_region.groupBy(roles.month).agg(
+        F.sum("count").alias("count"), F.sum(row_bytes(by_region)).alias("size")
+    ).collect()  # 13 rows at most
+    complete = S.all_of([present(by_place, name) for name in roles.place])
+    places = by_place.select(
+        "*", row_bytes(by_place).alias("size"), complete.alias("complete")
+    )
+    facts = bounding_box(places, roles, [
+        F.count_if("complete").alias("places"),
+        F.coalesce(F.sum(F.when(F.col("complete"), F.col("size"))), F.lit(0)).alias("size"),
+    ]).first()
+    monthly = df.sparkSession.createDataFrame(
+        [(m[roles.month], m["count"]) for m in months if m[roles.month] is not None],
+        f"`{roles.month}` int, count bigint",
+    )
+    known = F.col(roles.month).isNotNull() & F.col(roles.region).isNotNull()
     return Profile(
-        rows=by_region.agg(F.sum("count")).first()[0] or 0,
-        shares=settle(_share(monthly), "month-share"),
-        stats=known_month.filter(F.col(roles.region).isNotNull()).drop("count"),
-        places=places,
-        place_count=places.count(),
-        bounds=settle(bounding_box(by_place, roles), "bounds"),
+        rows=sum(m["count"] for m in months),
+        shares=_share(monthly),
+        stats=by_region.filter(known).drop("count"),
+        stats_size=sum(m["size"] for m in months),
+        places=hotspot_rank(by_place.filter(complete), roles),
+        places_size=facts["size"],
+        place_count=facts["places"],
+        bounds=facts,
     )
 
 

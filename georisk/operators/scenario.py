@@ -87,8 +87,8 @@ def scenario_places(
         "__hot": hot,
     })
     places = profile.places.select("rank", *roles.place)
-    placed = lookup(picked, places, ["rank"], "inner", settled=True)
-    box = profile.bounds.first()  # one row
+    placed = lookup(picked, places, ["rank"], "inner", size=profile.places_size)
+    box = profile.bounds
 
     def moved(name: str, slot: int, low: float, high: float) -> Column:
         shift = N.between(N.uniform(move, slot), -JITTER, JITTER)
@@ -102,17 +102,17 @@ def scenario_places(
 
 
 def scenario_measures(
-    rows: DataFrame, stats: DataFrame, seed: int, roles: Roles = DEFAULT_ROLES
+    rows: DataFrame, profile: Profile, seed: int, roles: Roles = DEFAULT_ROLES
 ) -> DataFrame:
     """Measures around the mean of the month and region, or from fixed ranges."""
     first, second = N.digest(ROW_ID, "noise-a", seed), N.digest(ROW_ID, "noise-b", seed)
     plain = N.digest(ROW_ID, "range", seed)
-    means = stats.select(
+    means = profile.stats.select(
         roles.month, roles.region,
         *[F.col(name).alias(f"__{name}") for name in (roles.dry_days, roles.precip, roles.frp)],
         F.lit(True).alias("__known"),
     )
-    joined = lookup(rows, means, [roles.month, roles.region])
+    joined = lookup(rows, means, [roles.month, roles.region], size=profile.stats_size)
     dry = S.dry_season(roles.month)
 
     def around(name: str, bell: Column, spread: float) -> Column:
@@ -159,4 +159,4 @@ def expand_scenario(
         total = scenario_total(profile.shares.sparkSession, seed)
     quotas = month_quota(profile.shares, total, roles)
     rows = scenario_rows(quotas, year, seed, roles)
-    return scenario_measures(scenario_places(rows, profile, seed, roles), profile.stats, seed, roles)
+    return scenario_measures(scenario_places(rows, profile, seed, roles), profile, seed, roles)

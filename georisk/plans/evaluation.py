@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from georisk.operators.evaluation import error_heat, error_map, map_centre, yearly_scores
-from georisk.operators.evaluation import complete_points
+from georisk.operators.evaluation import (
+    complete_points,
+    error_heat,
+    error_map,
+    map_centre,
+    yearly_scores,
+)
 from georisk.operators.models import ModelBundle, score_history
 from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.sinks import write_metrics
@@ -23,8 +28,15 @@ def run_evaluation(
     key: str | None = None,
     roles: Roles = DEFAULT_ROLES,
 ) -> DataFrame:
-    """Write all evaluation tables; returns the yearly scores."""
-    scored = settle(score_history(history, bundle, roles), "scored")
+    """Write all evaluation tables; returns the yearly scores.
+
+    The model runs once: what the four consumers need of the scored rows is
+    written before they start, without the features.
+    """
+    needed = [roles.lat, roles.lon, roles.date, roles.year, roles.risk, roles.prediction]
+    if key is not None:
+        needed.append(key)
+    scored = settle(score_history(history, bundle, roles).select(*needed), "scored")
     scores = settle(yearly_scores(scored, roles), "scores")
     write_metrics(scores, folder, roles)
     points = error_map(scored, year, roles, sample=sample, key=key)

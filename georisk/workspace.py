@@ -61,3 +61,26 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Give a written table at least one part per core.
+
+    For tables that are read many times, as in model fitting: a small input
+    file would otherwise keep one core busy. Large tables already have more
+    parts than cores and are returned as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return settle(table.repartition(cores), "spread")
+
+
+def drop_settled(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder.
+
+    Call it after the last result is written; tables read from the folder are
+    gone afterwards.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -21,7 +20,6 @@ def make_session() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="georisk-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -38,6 +38,13 @@ def canonical(columns, rows):
     return [columns[i] for i in order], table
 
 
+# Spark type name to DuckDB type name.
+TYPE_NAMES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def compare(spark, db, query, sql, sf_dir):
     """None if equal, else a short description of the first difference."""
     result = query(spark, sf_dir)
@@ -46,6 +53,10 @@ def compare(spark, db, query, sql, sf_dir):
     right = canonical([part[0] for part in cursor.description], cursor.fetchall())
     if left[0] != right[0]:
         return f"columns {left[0]} against {right[0]}"
+    types = {part[0]: str(part[1]) for part in cursor.description}
+    for name, kind in result.dtypes:
+        if TYPE_NAMES.get(kind) != types[name]:
+            return f"column {name} is {kind} against {types[name]}"
     if len(left[1]) != len(right[1]):
         return f"{len(left[1])} rows against {len(right[1])}"
     different = [(a, b) for a, b in zip(left[1], right[1]) if a != b]
