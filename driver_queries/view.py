@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from georisk.functions.scalars import clip, round_half_even
+from georisk.functions.scalars import round_half_even
 from georisk.operators.cleaning import clean, prepare_occurrences
 from georisk.roles import Roles
 
@@ -72,7 +72,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History with a year and a made-up but repeatable prediction."""
     shift = (F.col("occ_id") * 13 % 41 - 20).cast("double")
-    predicted = round_half_even(clip(F.col("risk") + shift, 0.0, 100.0)).cast("int")
+    inside = F.least(F.greatest(F.col("risk") + shift, F.lit(0.0)), F.lit(100.0))
+    predicted = round_half_even(inside).cast("int")
     return history(spark, sf_dir).withColumns({
         "year": F.year("event_date"), "predicted": predicted,
     })

@@ -87,7 +87,7 @@ def train_forest(
     forest = RandomForestRegressor(
         featuresCol="__scaled", labelCol=roles.risk, predictionCol="prediction",
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=1,
-        maxBins=max_bins, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
+        maxBins=max_bins, seed=seed, maxMemoryInMB=1024, cacheNodeIds=depth > 10,
         checkpointInterval=10,
     )
     model = Pipeline(stages=[*scaled_vector(names), forest]).fit(train_rows)

@@ -19,7 +19,9 @@ def build_session(app: str = "georisk", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        # The JVM never compiles methods above this many bytes; wide feature
+        # projections run faster as several smaller ones.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
