@@ -410,7 +410,7 @@ SELECT min(event_date) AS first_date, max(event_date) AS last_date FROM hist""",
     "scenario_measures": f"WITH {SCENARIO} SELECT * FROM measured",
     "scenario_defaults": f"WITH {JANUARY} SELECT * FROM measured",
     "risk_from_clusters": f"""WITH {CLUSTERED}, means AS (
-  SELECT cluster, avg(risk) / 100 AS mean_risk FROM clustered WHERE cluster % 3 <> 0 GROUP BY 1)
+  SELECT cluster, avg(risk) / 100 AS mean_risk FROM clustered WHERE cluster < 16 GROUP BY 1)
 SELECT occ_id, cluster, round(coalesce(mean_risk, CAST(0.5 AS DOUBLE)), 6) AS risk
 FROM clustered LEFT JOIN means USING (cluster)""",
     "risk_from_max": f"WITH {CLUSTER_PERCENT} SELECT occ_id, cluster, risk FROM percent",

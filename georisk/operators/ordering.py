@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from georisk.functions.scalars import nan_to_null
 from georisk.workspace import settle
@@ -49,6 +49,52 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     )
 
 
+def number_rows(df: DataFrame, name: str) -> DataFrame:
+    """Add 0-based positions in no particular order, without any shuffle.
+
+    The rows are written once as they lie, each part counts its own rows, and
+    only the counts are combined.
+    """
+    position = F.monotonically_increasing_id()
+    placed = settle(df.withColumn(PLACE, position), "numbered")
+    part = F.shiftright(PLACE, _PARTITION_BITS)
+    sizes = placed.groupBy(part.alias(SLICE)).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        SLICE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    )
+    inside = F.col(PLACE).bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
+    return (
+        placed.withColumn(SLICE, part)
+        .join(F.broadcast(starts), SLICE)
+        .withColumn(name, F.col("__start") + inside)
+        .drop(SLICE, PLACE, "__start")
+    )
+
+
+def group_at(counts: DataFrame, order: Sequence[Column], weight: str, position: int) -> Row:
+    """The group that covers a 0-based position, if groups are laid out in order.
+
+    ``counts`` has one row per group and its number of rows in ``weight``. The
+    result has the number of rows ``before`` the group. Only the one slice that
+    holds the position is read again.
+    """
+    cut = sliced(counts, order)
+    sizes = cut.groupBy(SLICE).agg(F.sum(weight).alias("n")).orderBy(SLICE)
+    start, chosen = 0, None
+    for number, size in sizes.collect():  # no more rows than shuffle partitions
+        chosen = number
+        if start + size > position:
+            break
+        start += size
+    running = Window.partitionBy(SLICE).orderBy(PLACE)
+    reached = cut.filter(F.col(SLICE) == chosen).withColumn(
+        "before", F.lit(start) + F.sum(weight).over(running) - F.col(weight)
+    )
+    covers = (F.col("before") <= position) & (F.col("before") + F.col(weight) > position)
+    return reached.filter(covers).first()
+
+
 def exact_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the exact median of each column; missing values are skipped.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from georisk.operators.evaluation import metric_chart_feed
 from georisk.operators.risk import forecast_output
+from georisk.operators.scenario import ROW_ID
 from georisk.roles import DEFAULT_ROLES, Roles
 
 
@@ -20,15 +21,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_forecast(
     df: DataFrame, path: str, roles: Roles = DEFAULT_ROLES, by_month: bool = False
 ) -> None:
-    """The forecast as CSV, sorted by date; the sort is by ranges, not one task."""
-    final = forecast_output(df, roles)
+    """The forecast as CSV, sorted by date; the sort is by ranges, not one task.
+
+    The row id breaks ties, so even one crowded day spreads over many ranges.
+    """
     if by_month:
         month = F.month(F.to_date(roles.date))
-        final.withColumn("month", month).hint("rebalance", "month").write.mode(
+        forecast_output(df, roles).withColumn("month", month).hint("rebalance", "month").write.mode(
             "overwrite"
         ).partitionBy("month").options(header="true", quote='"', escape='"').csv(path)
         return
-    write_csv(final.orderBy(*roles.forecast), path)
+    ties = [ROW_ID] if ROW_ID in df.columns else list(roles.forecast)
+    write_csv(forecast_output(df.orderBy(roles.date, *ties), roles), path)
 
 
 def write_metrics(scores: DataFrame, folder: str, roles: Roles = DEFAULT_ROLES) -> None:

@@ -5,10 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from georisk.operators.cleaning import clean
 from georisk.operators.lookup import hot_key_join, lookup, table_bytes
-from georisk.operators.ordering import exact_median, global_rank
+from georisk.operators.ordering import exact_median, global_rank, group_at, number_rows
 from georisk.operators.sampling import exact_sample, split_by_key
 from georisk.roles import Roles
 from georisk.workspace import new_path, settle, spread
@@ -115,6 +114,29 @@ def test_exact_sample_with_copies_of_one_key(spark):
         assert exact_sample(df, size, "id").count() == size
 
 
+def test_exact_sample_keeps_rows_without_a_key(spark):
+    df = spark.range(300).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("id"))
+    assert exact_sample(df, 299, "id").count() == 299
+    assert exact_sample(df, 40, "id").count() == 40
+
+
+def test_number_rows(spark):
+    df = spark.range(0, 1000, 1, 7)
+    places = [r["n"] for r in number_rows(df, "n").select("n").collect()]
+    assert sorted(places) == list(range(1000))
+
+
+@pytest.mark.parametrize("position, group, before", [(0, 0, 0), (4, 0, 0), (5, 1, 5), (499, 99, 495)])
+def test_group_at(spark, position, group, before):
+    counts = spark.range(100).select("id", F.lit(5).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        row = group_at(counts, [F.col("id")], "n", position)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (row["id"], row["before"]) == (group, before)
+
+
 def test_split_is_a_partition_of_the_rows(spark):
     df = spark.range(10000)
     train, test = split_by_key(df, "id")
@@ -145,10 +167,3 @@ def test_cleaning_reaches_the_scan(spark):
     pushed = text.split("PushedFilters: [")[1].split("]")[0]
     for name in roles.measures:
         assert f"IsNotNull({name})" in pushed and f"EqualNullSafe({name},-999.0)" in pushed
-
-
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_no_query_uses_a_cross_join_or_python(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-        assert node not in text
