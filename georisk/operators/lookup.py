@@ -14,7 +14,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
 HOT_SHARE = 0.002  # at most 1 / HOT_SHARE keys can hold more than this share
 
-_HOT = "__hot"
+_HOT = "__hot_key"
 
 
 def row_bytes(table: DataFrame) -> Column:
@@ -37,19 +37,20 @@ def lookup(
     on: Sequence[str],
     how: str = "left",
     size: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which holds at most one row per key.
 
     Without a measured ``size`` the table is written once and measured. Within
-    ``broadcast_bytes`` it is sent to every executor and ``rows`` are not
-    shuffled. Beyond it, see ``hot_key_join``.
+    ``broadcast_bytes`` (by default ``BROADCAST_BYTES``) it is sent to every
+    executor and ``rows`` are not shuffled. Beyond it, see ``hot_key_join``.
     """
     on = list(on)
     if size is None:
         table = settle(table, "lookup")
         size = table_bytes(table)
-    if size <= broadcast_bytes:
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if size <= limit:
         return rows.join(F.broadcast(table), on, how)
     return hot_key_join(rows, table, on, how)
 

@@ -84,7 +84,7 @@ def scenario_places(
     pool = F.when(hot, hotspot_pool(profile.place_count)).otherwise(profile.place_count)
     picked = rows.withColumns({
         "rank": F.floor(N.uniform(place, 2) * pool).cast("long"),
-        "__hot": hot,
+        "__at_hotspot": hot,
     })
     places = profile.places.select("rank", *roles.place)
     placed = lookup(picked, places, ["rank"], "inner", size=profile.places_size)
@@ -93,12 +93,12 @@ def scenario_places(
     def moved(name: str, slot: int, low: float, high: float) -> Column:
         shift = N.between(N.uniform(move, slot), -JITTER, JITTER)
         inside = S.clip(F.col(name) + shift, low, high)
-        return S.round_half_even(F.when(F.col("__hot"), F.col(name)).otherwise(inside), 6)
+        return S.round_half_even(F.when(F.col("__at_hotspot"), F.col(name)).otherwise(inside), 6)
 
     return placed.withColumns({
         roles.lat: moved(roles.lat, 0, box["lat_min"], box["lat_max"]),
         roles.lon: moved(roles.lon, 1, box["lon_min"], box["lon_max"]),
-    }).drop("rank", "__hot")
+    }).drop("rank", "__at_hotspot")
 
 
 def scenario_measures(

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from georisk.operators import lookup
 from tests.oracle_check import compare, connect
 
 SQL = entry.oracle_sql()
@@ -25,6 +26,18 @@ def test_query_equals_sql(spark, db, sf_dir, name):
     assert compare(spark, db, QUERIES[name], SQL[name], sf_dir) is None
 
 
+WITH_LOOKUPS = [
+    "label_encode", "label_decode", "feature_table", "scenario_coords", "scenario_measures",
+    "scenario_defaults", "risk_from_clusters", "yearly_map_feed", "forecast_output",
+]
+
+
+@pytest.mark.parametrize("name", WITH_LOOKUPS)
+def test_same_result_when_nothing_may_be_broadcast(spark, db, sf_dir, name, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    assert compare(spark, db, QUERIES[name], SQL[name], sf_dir) is None
+
+
 def test_entry_has_rows(spark):
     result = entry.entry(spark)
     assert result.columns == ["year", "MAE", "RMSE", "R2", "n"]

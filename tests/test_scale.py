@@ -143,6 +143,8 @@ def test_split_is_a_partition_of_the_rows(spark):
     assert train.count() + test.count() == 10000
     assert abs(train.count() - 8000) < 200
     assert train.intersect(test).isEmpty()
+    everything, nothing = split_by_key(df, "id", 1.0)
+    assert everything.count() == 10000 and nothing.isEmpty()
 
 
 def test_spread_gives_a_part_per_core(spark):
