@@ -89,8 +89,8 @@ def clip(value: Column | str, low: Column | float, high: Column | float) -> Colu
 
 
 def floor_zero(value: Column | str) -> Column:
-    value = column(value)
-    return F.when(value < 0, F.lit(0)).otherwise(value)
+    """The value, but never below 0; an unknown value counts as 0."""
+    return F.greatest(F.lit(0), column(value))
 
 
 def round_half_even(value: Column | str, digits: int = 0) -> Column:

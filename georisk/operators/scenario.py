@@ -79,40 +79,50 @@ def scenario_places(
     """
     if profile.place_count == 0:
         raise ValueError("the history holds no place")
-    place, move = N.digest(ROW_ID, "place", seed), N.digest(ROW_ID, "move", seed)
-    hot = N.uniform(place, 1) < HOTSPOT_SHARE
-    pool = F.when(hot, hotspot_pool(profile.place_count)).otherwise(profile.place_count)
-    picked = rows.withColumns({
-        "rank": F.floor(N.uniform(place, 2) * pool).cast("long"),
-        "__at_hotspot": hot,
+    drawn = rows.withColumns({
+        "__place": N.digest(ROW_ID, "place", seed), "__move": N.digest(ROW_ID, "move", seed),
     })
+    place, move, hot = F.col("__place"), F.col("__move"), F.col("__at_hotspot")
+    drawn = drawn.withColumn("__at_hotspot", N.uniform(place, 1) < HOTSPOT_SHARE)
+    pool = F.when(hot, hotspot_pool(profile.place_count)).otherwise(profile.place_count)
+    picked = drawn.withColumn("rank", F.floor(N.uniform(place, 2) * pool).cast("long"))
     places = profile.places.select("rank", *roles.place)
     placed = lookup(picked, places, ["rank"], "inner", size=profile.places_size)
     box = profile.bounds
 
-    def moved(name: str, slot: int, low: float, high: float) -> Column:
-        shift = N.between(N.uniform(move, slot), -JITTER, JITTER)
-        inside = S.clip(F.col(name) + shift, low, high)
-        return S.round_half_even(F.when(F.col("__at_hotspot"), F.col(name)).otherwise(inside), 6)
+    def shift(slot: int) -> Column:
+        return N.between(N.uniform(move, slot), -JITTER, JITTER)
 
-    return placed.withColumns({
-        roles.lat: moved(roles.lat, 0, box["lat_min"], box["lat_max"]),
-        roles.lon: moved(roles.lon, 1, box["lon_min"], box["lon_max"]),
-    }).drop("rank", "__at_hotspot")
+    def final(name: str, moved: str, low: float, high: float) -> Column:
+        inside = S.clip(moved, low, high)
+        return S.round_half_even(F.when(hot, F.col(name)).otherwise(inside), 6)
+
+    shifted = placed.withColumns({
+        "__lat": F.col(roles.lat) + shift(0), "__lon": F.col(roles.lon) + shift(1),
+    })
+    return shifted.withColumns({
+        roles.lat: final(roles.lat, "__lat", box["lat_min"], box["lat_max"]),
+        roles.lon: final(roles.lon, "__lon", box["lon_min"], box["lon_max"]),
+    }).drop("rank", "__place", "__move", "__at_hotspot", "__lat", "__lon")
 
 
 def scenario_measures(
     rows: DataFrame, profile: Profile, seed: int, roles: Roles = DEFAULT_ROLES
 ) -> DataFrame:
     """Measures around the mean of the month and region, or from fixed ranges."""
-    first, second = N.digest(ROW_ID, "noise-a", seed), N.digest(ROW_ID, "noise-b", seed)
-    plain = N.digest(ROW_ID, "range", seed)
     means = profile.stats.select(
         roles.month, roles.region,
         *[F.col(name).alias(f"__{name}") for name in (roles.dry_days, roles.precip, roles.frp)],
         F.lit(True).alias("__known"),
     )
     joined = lookup(rows, means, [roles.month, roles.region], size=profile.stats_size)
+    known = F.col("__known").isNotNull()
+    drawn = joined.withColumns({
+        "__a": F.when(known, N.digest(ROW_ID, "noise-a", seed)),
+        "__b": F.when(known, N.digest(ROW_ID, "noise-b", seed)),
+        "__range": F.when(~known, N.digest(ROW_ID, "range", seed)),
+    })
+    first, second, plain = F.col("__a"), F.col("__b"), F.col("__range")
     dry = S.dry_season(roles.month)
 
     def around(name: str, bell: Column, spread: float) -> Column:
@@ -127,11 +137,10 @@ def scenario_measures(
         N.normal(N.uniform(first, 2), N.uniform(first, 3)),
         N.normal(N.uniform(second, 0), N.uniform(second, 1)),
     ]
-    known = F.col("__known").isNotNull()
     dry_days = around(roles.dry_days, bells[0], SPREAD_DRY_DAYS).cast("int")
     precip = S.floor_zero(around(roles.precip, bells[1], SPREAD_PRECIP))
     frp = S.floor_zero(around(roles.frp, bells[2], SPREAD_FRP))
-    measured = joined.withColumns({
+    measured = drawn.withColumns({
         roles.dry_days: F.when(known, S.floor_zero(dry_days)).otherwise(
             ranged("dry_days", N.whole, 0)
         ),

@@ -32,8 +32,8 @@ def test_clip_keeps_null_and_nan(spark):
     assert math.isnan(got[4])
 
 
-def test_floor_zero_keeps_null(spark):
-    assert one(spark, S.floor_zero("x"), [(-2,), (3,), (None,)], "x int") == [0, 3, None]
+def test_floor_zero(spark):
+    assert one(spark, S.floor_zero("x"), [(-2,), (3,), (None,)], "x int") == [0, 3, 0]
 
 
 @pytest.mark.parametrize("text, expected", [
