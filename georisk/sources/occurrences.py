@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from georisk.functions.scalars import drop_null_tokens
-from georisk.operators.cleaning import prepare_occurrences, union_years
+from georisk.operators.cleaning import as_timestamp, prepare_occurrences, union_years
 from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.sinks import write_merged
 
@@ -74,11 +74,12 @@ def load_merged(
 ) -> DataFrame:
     """The merged table, cleaned and formatted; built from the files if absent.
 
-    It is Parquet, so later runs skip the text parsing and prune columns. As
-    with the files, a new year only enters with ``refresh``.
+    It is Parquet with the time already typed, so later runs parse no text,
+    prune columns and skip row groups. A new year only enters with ``refresh``.
     """
     if refresh or not table_exists(spark, merged):
-        write_merged(scan_yearly(spark, pattern, roles), merged)
+        raw = scan_yearly(spark, pattern, roles)
+        write_merged(raw.withColumn(roles.time, as_timestamp(raw, roles.time)), merged)
     return prepare_occurrences(spark.read.parquet(merged), roles)
 
 
