@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
@@ -11,6 +11,8 @@ from georisk.workspace import settle
 
 SLICE = "__slice"
 PLACE = "__place"
+ACCURACY = 10_000  # of the quantile sketch: its rank error is at most 1 / ACCURACY
+MARGIN = 4.0 / ACCURACY
 _PARTITION_BITS = 33  # documented layout of monotonically_increasing_id
 
 
@@ -98,45 +100,71 @@ def group_at(counts: DataFrame, order: Sequence[Column], weight: str, position:
 def exact_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the exact median of each column; missing values are skipped.
 
-    Equal values are counted first (combined before the shuffle), the distinct
-    values are sorted into slices, and only the slices that hold the middle
-    positions are read again. No task ever holds a whole column.
+    A first pass brackets each median with an approximate quantile, which
+    shuffles nothing but sketches. A second pass counts the values inside the
+    brackets and lumps everything below into one group, so only a sliver of the
+    values is shuffled. Should a bracket miss its median, that column is
+    counted again without one.
     """
-    pairs = F.array(*[
-        F.struct(F.lit(name).alias("axis"), nan_to_null(F.col(name).cast("double")).alias("value"))
-        for name in columns
-    ])
-    values = df.select(F.explode(pairs).alias("p")).select("p.axis", "p.value")
-    counts = values.filter(F.col("value").isNotNull()).groupBy("axis", "value").count()
-    cut = sliced(counts, [F.col("axis"), F.col("value")])
-
-    # As many rows as slices times columns.
-    sizes = cut.groupBy("axis", SLICE).agg(F.sum("count").alias("n"))
-    axis = Window.partitionBy("axis")
-    upto = axis.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = sizes.select(
-        "axis", SLICE,
-        F.sum("n").over(upto).alias("end"),
-        (F.sum("n").over(upto) - F.col("n")).alias("start"),
-        F.sum("n").over(axis).alias("total"),
-    ).withColumns({
-        "low": F.expr("(total - 1) div 2"),
-        "high": F.expr("total div 2"),
-    })
+    numbers = {name: nan_to_null(F.col(name).cast("double")) for name in columns}
+    facts = df.agg(*[
+        F.struct(
+            F.count(value).alias("n"),
+            F.percentile_approx(value, [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("ends"),
+        ).alias(name)
+        for name, value in numbers.items()
+    ]).first()
+    sizes = {name: facts[name]["n"] for name in columns if facts[name]["n"]}
+    medians = medians_within(df, sizes, {name: facts[name]["ends"] for name in sizes})
+    missed = [name for name in sizes if medians[name] is None]
+    if missed:
+        everything = {name: (float("-inf"), float("inf")) for name in missed}
+        medians |= medians_within(df, {name: sizes[name] for name in missed}, everything)
+    schema = ", ".join(f"`{name}` double" for name in columns)
+    return df.sparkSession.createDataFrame([tuple(medians.get(name) for name in columns)], schema)
+
+
+def medians_within(
+    df: DataFrame, sizes: Mapping[str, int], brackets: Mapping[str, Sequence[float]]
+) -> dict[str, float | None]:
+    """Exact medians of columns with known sizes; None if outside its bracket."""
+    if not sizes:
+        return {}
+
+    def pair(name: str) -> Column:
+        low, high = brackets[name]
+        value = nan_to_null(F.col(name).cast("double"))
+        inside = F.when(value >= low, value)  # null stands for all values below
+        entry = F.struct(F.lit(name).alias("axis"), inside.alias("value"))
+        return F.when(value <= high, entry)
+
+    pairs = F.explode(F.array(*[pair(name) for name in sizes])).alias("p")
+    values = df.select(pairs).filter(F.col("p").isNotNull()).select("p.axis", "p.value")
+    counts = values.groupBy("axis", "value").agg(F.count(F.lit(1)).alias("n"))
+    cut = sliced(counts, [F.col("axis"), F.col("value").asc_nulls_first()])
+
+    # As many rows as slices times columns, with the two middle positions.
+    upto = Window.partitionBy("axis").orderBy(SLICE)
+    known = F.create_map(*[F.lit(part) for item in sizes.items() for part in item])
+    total = F.element_at(known, F.col("axis"))
+    spans = cut.groupBy("axis", SLICE).agg(F.sum("n").alias("span")).select(
+        "axis", SLICE, (F.sum("span").over(upto) - F.col("span")).alias("start"),
+        F.sum("span").over(upto).alias("end"), total.alias("total"),
+    ).withColumns({"low": F.expr("(total - 1) div 2"), "high": F.expr("total div 2")})
     middle = spans.filter((F.col("start") <= F.col("high")) & (F.col("end") > F.col("low")))
 
     near = cut.join(F.broadcast(middle), ["axis", SLICE])
-    running = Window.partitionBy("axis", SLICE).orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    reached = near.withColumn("reached", F.col("start") + F.sum("count").over(running))
-    medians = reached.groupBy("axis").agg(
-        (
-            (F.min(F.when(F.col("reached") > F.col("low"), F.col("value")))
-             + F.min(F.when(F.col("reached") > F.col("high"), F.col("value"))))
-            / F.lit(2.0)
-        ).alias("median")
-    )
-    return medians.agg(*[
-        F.max(F.when(F.col("axis") == name, F.col("median"))).alias(name) for name in columns
-    ])
+    running = Window.partitionBy("axis", SLICE).orderBy(PLACE)
+    before = F.col("start") + F.sum("n").over(running) - F.col("n")
+    reached = near.withColumn("before", before)
+
+    def value_at(position: str) -> Column:
+        covers = (F.col("before") <= F.col(position)) & (
+            F.col("before") + F.col("n") > F.col(position)
+        )
+        return F.max(F.when(covers, F.col("value")))
+
+    found = reached.groupBy("axis").agg(
+        ((value_at("low") + value_at("high")) / F.lit(2.0)).alias("median")
+    ).collect()  # a row per column
+    return {name: None for name in sizes} | {row["axis"]: row["median"] for row in found}

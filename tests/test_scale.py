@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from georisk.operators.cleaning import clean
 from georisk.operators.lookup import hot_key_join, lookup, table_bytes
-from georisk.operators.ordering import exact_median, global_rank, group_at, number_rows
+from georisk.operators import ordering
+from georisk.operators.ordering import (
+    exact_median,
+    global_rank,
+    group_at,
+    medians_within,
+    number_rows,
+)
 from georisk.operators.sampling import exact_sample, split_by_key
 from georisk.roles import Roles
 from georisk.workspace import new_path, settle, spread
@@ -93,6 +100,19 @@ def test_exact_median_equals_pandas(spark, size):
     assert (got["a"], got["b"]) == (frame["a"].median(), frame["b"].median())
 
 
+@pytest.mark.parametrize("ends", [(5.0, 6.0), (-9.0, -8.0), (0.4, 0.6), (float("-inf"), float("inf"))])
+def test_median_outside_its_bracket_is_not_guessed(spark, ends):
+    df = spark.createDataFrame([(v,) for v in (0.1, 0.5, 0.5, 0.5, 7.0)], "a double")
+    expected = 0.5 if ends[0] <= 0.5 <= ends[1] else None
+    assert medians_within(df, {"a": 5}, {"a": ends}) == {"a": expected}
+
+
+def test_exact_median_recovers_from_a_wrong_bracket(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "MARGIN", -0.4)  # asks for the ends in the wrong order
+    df = spark.range(1001).select(F.col("id").cast("double").alias("a"))
+    assert exact_median(df, ["a"]).first()["a"] == 500.0
+
+
 def test_exact_median_skips_missing(spark):
     df = spark.createDataFrame([(1.0, None), (float("nan"), None), (4.0, None)], "a double, b double")
     assert tuple(exact_median(df, ["a", "b"]).first()) == (2.5, None)
