@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from georisk.llm.line_crf import score_quality
 from georisk.llm.line_dedup import dedup_lines
 from georisk.llm.mixing import mix_plan
 from georisk.llm.ngram_join import jaccard_links
@@ -32,6 +33,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from the labels of its lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of documents whose five-word shingles agree to 0.8 or more."""
     return jaccard_links(table(spark, sf_dir, "documents"))
@@ -41,5 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
