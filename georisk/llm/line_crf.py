@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from georisk.llm import arrays
 
-FIT_DOCUMENTS, STEPS, PENALTY = 4000, 60, 1.0
+FIT_DOCUMENTS, STEPS, PENALTY = 4000, 200, 0.1
 SLICE = 1 << 18
 FEATURES = 18
 

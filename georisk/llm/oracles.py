@@ -19,6 +19,53 @@ SELECT doc_id, count(*) AS n_lines,
 FROM lines LEFT JOIN shared USING (k) GROUP BY doc_id
 """
 
+QUALITY_RULES = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lists AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM lists),
+windows AS (
+  SELECT doc_id, i, word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p AS gram
+  FROM words WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM windows WHERE gram IS NOT NULL)
+  WHERE n >= 2),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
+  FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
+line_facts AS (SELECT doc_id, sum(n) AS n_lines, sum(n - 1) AS n_dup FROM lines GROUP BY doc_id),
+stutters AS (
+  SELECT doc_id, count(*) AS stutters
+  FROM (SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM words)
+  WHERE word = last GROUP BY doc_id),
+word_facts AS (
+  SELECT doc_id, sum(n) AS n_words, sum(n * length(word)) AS word_chars, max(n) AS most,
+    sum(n) FILTER (WHERE ends_with(word, '!')) AS bangs,
+    sum(n) FILTER (WHERE NOT regexp_matches(word, '[A-Za-z]|[^\x00-\x7F]')) AS bare
+  FROM (SELECT doc_id, word, count(*) AS n FROM words GROUP BY doc_id, word) GROUP BY doc_id),
+facts AS (
+  SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
+    CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals,
+    length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters,
+    coalesce(stutters, 0) AS stutters, coalesce(bangs, 0) AS bangs, coalesce(bare, 0) AS bare, coalesce(most, 0) AS most
+  FROM docs LEFT JOIN stutters USING (doc_id) LEFT JOIN word_facts USING (doc_id) LEFT JOIN line_facts USING (doc_id) LEFT JOIN covered USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words
+    OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 2 * capitals > letters
+    OR 10 * bangs > 3 * n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+    OR 5 * bare > 2 * n_words OR 10 * most > 3 * n_words OR 10 * stutters > 3 * n_words) AS kept
+FROM facts
+"""
+
 ORACLES: dict[str, str] = {
+    "op5_quality_rules": QUALITY_RULES,
     "op7_line_dedup": LINE_DEDUP,
 }

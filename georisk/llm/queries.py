@@ -11,6 +11,7 @@ from georisk.llm.line_dedup import dedup_lines
 from georisk.llm.mixing import mix_plan
 from georisk.llm.ngram_join import jaccard_links
 from georisk.llm.packing import pack_documents
+from georisk.llm.quality_rules import rate_texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word and line counts of every text, and whether the rule cascade keeps it."""
+    return rate_texts(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that others share, as a digest of what stays."""
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -47,6 +53,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
