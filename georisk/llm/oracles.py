@@ -65,7 +65,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM facts
 """
 
+EMBEDDINGS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM parts LEFT JOIN counts USING (vec_id)
+"""
+
+WARC = """
+WITH payloads AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+marked AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM marked
+"""
+
 ORACLES: dict[str, str] = {
     "op5_quality_rules": QUALITY_RULES,
+    "op6_embedding_near_dedup": EMBEDDINGS,
     "op7_line_dedup": LINE_DEDUP,
+    "op8_warc_zip": WARC,
 }

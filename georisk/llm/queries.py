@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from georisk.llm.embedding_pairs import cosine_links
 from georisk.llm.line_crf import score_quality
 from georisk.llm.line_dedup import dedup_lines
 from georisk.llm.mixing import mix_plan
 from georisk.llm.ngram_join import jaccard_links
 from georisk.llm.packing import pack_documents
 from georisk.llm.quality_rules import rate_texts
+from georisk.llm.warc_zip import archive_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +35,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_texts(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of embeddings with one label and a cosine of 0.93 or more."""
+    return cosine_links(table(spark, sf_dir, "embeddings"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that others share, as a digest of what stays."""
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages archived in ZIP packages and read back by ranges."""
+    return archive_round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from the labels of its lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_warc_zip": op8_warc_zip,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
