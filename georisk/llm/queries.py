@@ -13,6 +13,7 @@ from georisk.llm.mixing import mix_plan
 from georisk.llm.ngram_join import jaccard_links
 from georisk.llm.packing import pack_documents
 from georisk.llm.quality_rules import rate_texts
+from georisk.llm.toxicity import score_toxicity
 from georisk.llm.warc_zip import archive_round_trip
 
 
@@ -30,6 +31,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, disguised words read first."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word and line counts of every text, and whether the rule cascade keeps it."""
     return rate_texts(table(spark, sf_dir, "documents"))
@@ -65,6 +71,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_line_dedup": op7_line_dedup,
