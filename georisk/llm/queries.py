@@ -13,6 +13,7 @@ from georisk.llm.mixing import mix_plan
 from georisk.llm.ngram_join import jaccard_links
 from georisk.llm.packing import pack_documents
 from georisk.llm.quality_rules import rate_texts
+from georisk.llm.substring_dedup import repeated_passages
 from georisk.llm.toxicity import score_toxicity
 from georisk.llm.warc_zip import archive_round_trip
 
@@ -26,6 +27,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share with an earlier one."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of all documents placed in sequences of 1024."""
     return pack_documents(table(spark, sf_dir, "documents"))
@@ -70,6 +76,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,

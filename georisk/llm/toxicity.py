@@ -53,7 +53,7 @@ DISGUISED = re.compile(
     # single characters set apart
     rf"(?<![\w{_SIGN}])(?:[\w{_SIGN}][ \t.\-_*~]{{1,2}}){{3,}}[\w{_SIGN}](?![\w{_SIGN}])"
     # letters with signs among or before them
-    rf"|(?<![\w{_SIGN}])(?=[\w{_SIGN}]*[{_SIGN}][\w{_SIGN}]*{_LETTER})[\w{_SIGN}]*{_LETTER}[\w{_SIGN}]*"
+    rf"|(?<![\w{_SIGN}])(?=[\w{_SIGN}]*[{_SIGN}][\w{_SIGN}]*{_LETTER})[\w{_SIGN}]*{_LETTER}[\w{_SIGN}]*(?<![!|])"
     # a letter three times or more
     rf"|{_LETTER}*({_LETTER})\1\1{_LETTER}*")
 WORD = re.compile(_LETTER + "+")
