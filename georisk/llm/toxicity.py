@@ -35,7 +35,7 @@ from georisk.workspace import settle
 FIT_DOCUMENTS, LEXICON = 4000, 4000
 LEAST_DOCUMENTS, LEAST_RATIO = 5, 1.8
 PREFIXES = (4, 5, 6, 7)
-MEMO = 200_000
+MEMO, LONG_TOKEN = 200_000, 64
 
 # What signs commonly stand for.
 STANDS_FOR = {
@@ -56,6 +56,8 @@ DISGUISED = re.compile(
     rf"|(?<![\w{_SIGN}])(?=[\w{_SIGN}]*[{_SIGN}][\w{_SIGN}]*{_LETTER})[\w{_SIGN}]*{_LETTER}[\w{_SIGN}]*(?<![!|])"
     # a letter three times or more
     rf"|{_LETTER}*({_LETTER})\1\1{_LETTER}*")
+# A cheap sign that a text may hold single characters set apart by blanks.
+APART = re.compile(r"(?<!\S)\S[ \t]{1,2}\S[ \t]{1,2}\S[ \t]")
 WORD = re.compile(_LETTER + "+")
 DOUBLED = re.compile(r"(.)\1")
 RUN = re.compile(r"(.)\1+")
@@ -271,6 +273,7 @@ class Scale:
     def __init__(self, entries: dict[str, tuple[int, int, int]], words: tuple[int, int]):
         self.entries, self.words = entries, words
         self.memo: dict[str, float] = {}
+        self.tokens: dict[str, tuple] = {}
 
     def odds(self, docs: int, toxic: int, clean: int) -> float:
         if docs < LEAST_DOCUMENTS or toxic <= 0:
@@ -287,16 +290,39 @@ class Scale:
             self.memo[word] = known
         return known
 
-    def telling(self, uses: Counter[str], reader: Reader | None = None) -> list[tuple[float, int]]:
-        """(weight, uses) of the words that speak for toxicity."""
-        out = []
-        for word, n in uses.items():
+    def token(self, token: str, reader: Reader) -> tuple[int, tuple[tuple[str, float], ...]]:
+        """Restored words of a token: their number, and those that speak for toxicity."""
+        words = WORD.findall(reader.restore(token))
+        told = []
+        for word in words:
             weight = self.weight(word)
-            if not weight and reader and DOUBLED.search(word) and self.weight(RUN.sub(r"\1", word)):
-                weight = self.weight(reader.decode(word))
+            if not weight and DOUBLED.search(word) and self.weight(RUN.sub(r"\1", word)):
+                word = reader.decode(word)
+                weight = self.weight(word)
             if weight:
-                out.append((weight, n))
-        return out
+                told.append((word, weight))
+        return len(words), tuple(told)
+
+    def telling(self, text: str, reader: Reader) -> tuple[list[tuple[float, int]], int]:
+        """(weight, uses) of the telling words of a restored text, and its number of words.
+
+        Only spans of blanks need the whole text; all other disguises lie within
+        a token, so each distinct token is restored and weighed once.
+        """
+        text = reader.restore(text) if APART.search(text) else text.lower()
+        words, found = 0, {}
+        for token, n in Counter(text.split()).items():
+            known = self.tokens.get(token)
+            if known is None:
+                if len(self.tokens) > MEMO:
+                    self.tokens.clear()
+                known = self.token(token, reader)
+                if len(token) < LONG_TOKEN:
+                    self.tokens[token] = known
+            words += known[0] * n
+            for word, weight in known[1]:
+                found[word] = (weight, found[word][1] + n if word in found else n)
+        return list(found.values()), words
 
     def without(self, uses: Counter[str], y: int) -> list[tuple[float, int]]:
         """As ``telling``, as if the document itself had not been counted."""
@@ -347,8 +373,7 @@ class Model:
         def score(text: str) -> float:
             if self.theta is None:
                 return 0.5
-            uses = Counter(WORD.findall(reader.restore(text)))
-            x = evidence(scale.telling(uses, reader), sum(uses.values()))
+            x = evidence(*scale.telling(text, reader))
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, float(np.dot(self.theta, x))))))
 
         return score
