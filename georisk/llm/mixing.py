@@ -26,7 +26,7 @@ from georisk.llm import arrays
 from georisk.workspace import settle
 
 BLOCK_WORDS = 64
-SHARD_SLOTS, MOST_SHARDS = 4096, 1 << 16
+SHARD_SLOTS, MOST_SHARDS, PART_SLOTS = 4096, 1 << 16, 1 << 17
 # Words packed in one run, and the bound on the number of runs of all sources.
 RUN_WORDS, MOST_RUNS = 1 << 16, 1 << 20
 MOST_PASSES = 3
@@ -155,7 +155,9 @@ def draw_slots(spark, facts: list[dict], total: int, seed: int) -> DataFrame:
     drawn = spark.range(shards).mapInArrow(draw, "shard long, src long, n long").where("n > 0")
     # At most MOST_SHARDS rows per source.
     before = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = drawn.withColumn("first", F.sum("n").over(before) - F.col("n")).repartition("shard", "src")
+    # Few small rows that become many: the number of parts follows the slots they stand for.
+    numbered = drawn.withColumn("first", F.sum("n").over(before) - F.col("n")).repartition(
+        -(-slots // PART_SLOTS), "shard", "src")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +194,8 @@ def _plan(
     held, blocks = block_table(sized, [f for f in facts if f["size"]])
     count = {r["src"]: r["blocks"] for r in blocks.collect()}
     drawn = draw_slots(spark, [f | {"blocks": count[f["src"]]} for f in facts if f["size"]], total, seed)
-    return sized, facts, held.join(drawn, ["src", "block"]).select("rid", "at", "words", "times")
+    # The drawn blocks grow with the corpus, which the planner can't see behind the draw.
+    return sized, facts, held.join(drawn.hint("merge"), ["src", "block"]).select("rid", "at", "words", "times")
 
 
 def mix_plan(
