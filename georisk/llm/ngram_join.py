@@ -324,7 +324,7 @@ def jaccard_links(
     sets = settle(sets, "classes")
     # The signature of a class is that of any of its rows: one row of its smallest document.
     own = sketches.where("hi is not null").join(
-        sets.where("rep is not null"), ["hi", "lo"]).where("id = rep")
+        sets.where("rep is not null").withColumn("id", F.col("rep")), ["hi", "lo", "id"])
     classes = settle(own.dropDuplicates(["rep", "hi", "lo"]).select(
         "rep", "hi", "lo", "copies", "bands", "sig"), "class_rows")
 
@@ -345,9 +345,10 @@ def jaccard_links(
     found = settle(tiles.mapInArrow(run, "rep long, linked long, root long"), "tile_links")
     linked = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
     reached = components(found, "rep", "root").withColumnRenamed("id", "rep")
-    facts = linked.join(reached, "rep", "left")
+    # Facts meet the classes first, one row each, and then the documents of a class.
+    facts = settle(sets.join(linked.join(reached, "rep", "left"), "rep", "left"), "class_facts")
 
-    rows = members.join(sets, ["hi", "lo"]).join(facts, "rep", "left").select(
+    rows = members.join(facts, ["hi", "lo"]).select(
         "id", F.col("rep").alias("class_id"),
         (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"))
