@@ -3,9 +3,9 @@
 Texts become token ids in Arrow batches; documents longer than a sequence are
 cut. The lengths alone are then packed: each group of items is packed best-fit
 decreasing, and lower bounds from dual feasible functions certify its number
-of bins. Groups with a gap to their bound give up their emptiest bins, others
-their emptiest one; what is given up is exchanged between groups by a new hash
-and packed again, until one group is left.
+of bins. Groups with a gap to their bound give up their emptiest bins (a
+quarter), others their emptiest one; what is given up is exchanged between
+groups by a new hash and packed again, until one group is left.
 
 Defined cases: a null text is empty and holds only the end token; ``doc_id``
 may be null or repeat (its rows are packed one by one); an empty table gives no
@@ -151,7 +151,7 @@ def pack_group(table: pa.Table, capacity: int, final: bool) -> pa.Table:
     gap = len(fills) - lower_bound(lengths, capacity)
     released = np.zeros(len(fills), bool)
     if not final:
-        given = np.argsort(fills, kind="stable")[:4 * gap + 1]
+        given = np.argsort(fills, kind="stable")[:max(4 * gap, len(fills) // 4) if gap else 1]
         released[given[fills[given] < capacity]] = True
     order = np.lexsort((np.arange(len(place)), place))
     before = np.cumsum(lengths[order]) - lengths[order]
