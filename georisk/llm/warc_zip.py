@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from georisk.workspace import new_path, settle
 
 LEAST_BYTES = 100
-PACKAGE_BYTES = 24 << 20
+PACKAGE_BYTES, MOST_PARTS = 24 << 20, 50_000
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 BATCH = 500
 # Fixed values of the WARC and ZIP formats.
@@ -302,8 +302,8 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                 if rows:
                     yield out(rows, bodies)
 
-    # One package a task at most times: packages are few and hold megabytes each.
-    spread = manifest.select("path").repartition("path")
+    # A row of the manifest stands for megabytes: the number of parts follows the packages.
+    spread = manifest.select("path").repartition(max(1, min(manifest.count(), MOST_PARTS)), "path")
     return spread.mapInArrow(run, RECORD_SCHEMA + (", payload binary" if payloads else ""))
 
 
