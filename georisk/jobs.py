@@ -71,7 +71,8 @@ def forecast_job(spark: SparkSession, options: argparse.Namespace) -> None:
     distinct_places(final).show()
     forecast_by_month(final).orderBy(DEFAULT_ROLES.month).show()
     forecast_summary(result).show()
-    cluster_counts(result).show()
+    # As many rows as there are different scores: a table and no print-out.
+    cluster_counts(result).write.mode("overwrite").parquet(f"{options.out.rstrip('/')}_clusters")
 
 
 def evaluate_job(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -80,7 +81,7 @@ def evaluate_job(spark: SparkSession, options: argparse.Namespace) -> None:
         spark, options.model, history, trees=options.trees, depth=options.depth
     )
     scores = run_evaluation(history, bundle, options.out, options.year)
-    scores.orderBy(DEFAULT_ROLES.year).show()
+    scores.orderBy(DEFAULT_ROLES.year).show(scores.count(), truncate=False)
 
 
 def maps_job(spark: SparkSession, options: argparse.Namespace) -> None:

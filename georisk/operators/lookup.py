@@ -64,6 +64,8 @@ def hot_key_join(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str)
     nothing. Only the remaining, evenly spread keys are shuffled.
     """
     on = list(on)
+    # Read three times below; without the written copy its whole plan would run as often.
+    rows = settle(rows, "lookup-rows")
     null_key = any_of([F.col(name).isNull() for name in on])
     counts = settle(rows.filter(~null_key).groupBy(*on).count(), "key-counts")
     total = counts.agg(F.sum("count")).first()[0] or 0

@@ -19,7 +19,7 @@ from georisk.operators.encoding import Labels, fit_labels
 from georisk.operators.sampling import split_by_key
 from georisk.operators.scaling import standardize
 from georisk.roles import DEFAULT_ROLES, Roles
-from georisk.workspace import settle, spread
+from georisk.workspace import lay_out, settle
 
 # Settings of the published model and of the cluster sweep.
 TREES = 200
@@ -31,6 +31,10 @@ SWEEP_RANGE = range(2, 20)
 REPORTED_K = 12
 SWEEP_ITERATIONS = 300
 
+# Parts that fitting runs over. Fitted models depend on it, so it is a setting
+# of the run and never taken from the cluster; raise it with the data.
+MODEL_PARTS = 32
+
 _ROW_KEY = "__row_key"
 
 
@@ -69,21 +73,25 @@ def train_forest(
     train_share: float = TRAIN_SHARE,
     key: str | None = None,
     max_bins: int = 64,
+    parts: int = MODEL_PARTS,
 ) -> ModelBundle:
     """Fit the risk forest on the training part of a history.
 
     The feature table is written once: the scaler and every level of the trees
-    read it again. Without a row key the split is by a hash of the whole row.
+    read it again. Without a row key the split is by a hash of the row, without
+    the name of its file, so moving files changes no model.
     """
     require_rows(history, "history")
     labels = fit_category_labels(history, roles)
     names = feature_names(history.drop(key) if key else history, roles)
-    split_key = F.col(key) if key else F.xxhash64(*sorted(history.columns))
+    split_key = F.col(key) if key else F.xxhash64(
+        *sorted(name for name in history.columns if name != roles.source))
     train, _ = split_by_key(
         history.withColumn(_ROW_KEY, split_key), _ROW_KEY, train_share, seed
     )
     table = feature_table(train, labels, roles)
-    train_rows = spread(settle(project_features(table, names, [roles.risk]), "train"))
+    train_rows = settle(project_features(table, names, [roles.risk]), "train")
+    train_rows = lay_out(train_rows, [*names, roles.risk], parts)
     forest = RandomForestRegressor(
         featuresCol="__scaled", labelCol=roles.risk, predictionCol="prediction",
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=1,
@@ -100,13 +108,15 @@ def train_clusters(
     k: int = REPORTED_K,
     seed: int = SWEEP_SEED,
     key: str | None = None,
+    parts: int = MODEL_PARTS,
 ) -> ModelBundle:
     """Cluster bundle: the predicted cluster stands for its mean risk share."""
     require_rows(history, "history")
     labels = fit_category_labels(history, roles)
     names = feature_names(history.drop(key) if key else history, roles)
     table = feature_table(history, labels, roles)
-    rows = spread(settle(project_features(table, names, [roles.risk]), "train"))
+    rows = settle(project_features(table, names, [roles.risk]), "train")
+    rows = lay_out(rows, [*names, roles.risk], parts)
     means = KMeans(
         featuresCol="__scaled", predictionCol="prediction", k=k, seed=seed,
         maxIter=SWEEP_ITERATIONS,
@@ -152,16 +162,19 @@ def kmeans_sweep(
     ks: Iterable[int] = SWEEP_RANGE,
     seed: int = SWEEP_SEED,
     iterations: int = SWEEP_ITERATIONS,
+    parts: int = MODEL_PARTS,
 ) -> DataFrame:
     """Inertia and silhouette per number of clusters.
 
-    The scaled rows are written once; every fit is a distributed job over them.
+    The rows are written once and kept scaled; every fit is a distributed job over them.
     The silhouette uses squared distances, which needs one pass instead of all
     pairs of rows.
     """
-    scaled = standardize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
+    plain = settle(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "unscaled")
+    # Laid out by the plain values: the last digits of scaled ones depend on the order of sums.
+    scaled = standardize(lay_out(plain, columns, parts), columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(scaled)
-    rows = spread(settle(vectors.select("features"), "scaled")).persist()
+    rows = vectors.select("features").persist()
     evaluator = ClusteringEvaluator(metricName="silhouette")
     found = []
     for k in ks:

@@ -10,6 +10,7 @@ from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.sinks import write_feed
 from georisk.sources.forecast import scan_forecast
 from georisk.sources.occurrences import load_yearly
+from georisk.workspace import settle
 
 DEFAULT_YEAR = 2025  # fixed value: the year shown first
 
@@ -17,7 +18,9 @@ DEFAULT_YEAR = 2025  # fixed value: the year shown first
 def build_yearly_maps(
     spark: SparkSession, pattern: str, out: str, roles: Roles = DEFAULT_ROLES
 ) -> None:
-    write_feed(yearly_map_feed(load_yearly(spark, pattern, roles), roles), out)
+    # Parsed once: the feed reads the rows for their years and for their points.
+    rows = settle(load_yearly(spark, pattern, roles), "yearly")
+    write_feed(yearly_map_feed(rows, roles), out)
 
 
 def read_year(spark: SparkSession, feed: str, wanted: int = DEFAULT_YEAR) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,17 +66,15 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Give a written table at least one part per core.
+def lay_out(table: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
+    """The rows in ``parts`` parts by a hash of ``columns``, sorted within each.
 
-    For tables that are read many times, as in model fitting: a small input
-    file would otherwise keep one core busy. Large tables already have more
-    parts than cores and are returned as they are.
+    For model fitting, which draws rows and start values part by part: the parts
+    then depend on the rows and on ``parts`` only, and neither on the number of
+    cores nor on the files the rows came from. Rows that agree in all columns
+    can be exchanged.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return settle(table.repartition(cores), "spread")
+    return table.repartition(parts, *columns).sortWithinPartitions(*columns)
 
 
 def drop_settled(spark: SparkSession) -> None:

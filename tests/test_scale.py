@@ -17,7 +17,7 @@ from georisk.operators.ordering import (
 )
 from georisk.operators.sampling import exact_sample, split_by_key
 from georisk.roles import Roles
-from georisk.workspace import new_path, settle, spread
+from georisk.workspace import lay_out, new_path, settle
 
 
 def plan(df):
@@ -167,12 +167,30 @@ def test_split_is_a_partition_of_the_rows(spark):
     assert everything.count() == 10000 and nothing.isEmpty()
 
 
-def test_spread_gives_a_part_per_core(spark):
+def test_models_do_not_depend_on_the_layout_of_their_rows(spark):
+    """Another order, other parts and another file name give the same forest and sweep."""
+    from georisk.operators import models
+    from driver_queries import queries
+
+    rows = settle(queries.history(spark, "/root/testdata/sf0.001"), "history")
+    found = []
+    for layout in (rows.coalesce(1), rows.orderBy(F.desc("risk")).repartition(7)):
+        table = settle(layout, "layout")
+        bundle = models.train_forest(table, queries.ROLES, trees=3, depth=4, key="occ_id")
+        scores = models.score_history(table, bundle, queries.ROLES).select("occ_id", "predicted")
+        sweep = models.kmeans_sweep(table, list(queries.SCALED), range(2, 4), iterations=5)
+        found.append((sorted(map(tuple, scores.collect())), [
+            (r["k"], round(r["inertia"], 6), round(r["silhouette"], 6)) for r in sweep.collect()]))
+    assert found[0] == found[1]
+
+
+def test_parts_follow_the_setting_and_not_the_cores(spark):
     table = settle(spark.range(0, 1000, 1, 1))
-    wide = spread(table)
-    assert wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert wide.exceptAll(table).isEmpty() and wide.count() == 1000
-    assert spread(wide) is wide
+    laid = lay_out(table, ["id"], 12)
+    assert laid.rdd.getNumPartitions() == 12
+    parts = laid.select("id", F.spark_partition_id().alias("p")).collect()
+    again = lay_out(table.repartition(5), ["id"], 12).select("id", F.spark_partition_id().alias("p")).collect()
+    assert list(map(tuple, parts)) == list(map(tuple, again))
 
 
 def test_cleaning_reaches_the_scan(spark):
