@@ -31,9 +31,9 @@ SWEEP_RANGE = range(2, 20)
 REPORTED_K = 12
 SWEEP_ITERATIONS = 300
 
-# Parts that fitting runs over. Fitted models depend on it, so it is a setting
-# of the run and never taken from the cluster; raise it with the data.
-MODEL_PARTS = 32
+# Fitted models depend on the parts their rows lie in. The number of parts
+# follows the number of rows (or is given), and never the cluster.
+LEAST_PARTS, PART_ROWS = 8, 250_000
 
 _ROW_KEY = "__row_key"
 
@@ -56,6 +56,10 @@ def fit_category_labels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Labels:
     return fit_labels(df, [name for name in roles.categories if name in df.columns])
 
 
+def parts_for(table: DataFrame, parts: int | None) -> int:
+    return parts or max(LEAST_PARTS, -(-table.count() // PART_ROWS))
+
+
 def scaled_vector(features: list[str]) -> list:
     """Assemble and scale as model stages, so training and scoring agree."""
     return [
@@ -73,7 +77,7 @@ def train_forest(
     train_share: float = TRAIN_SHARE,
     key: str | None = None,
     max_bins: int = 64,
-    parts: int = MODEL_PARTS,
+    parts: int | None = None,
 ) -> ModelBundle:
     """Fit the risk forest on the training part of a history.
 
@@ -91,7 +95,7 @@ def train_forest(
     )
     table = feature_table(train, labels, roles)
     train_rows = settle(project_features(table, names, [roles.risk]), "train")
-    train_rows = lay_out(train_rows, [*names, roles.risk], parts)
+    train_rows = lay_out(train_rows, [*names, roles.risk], parts_for(train_rows, parts))
     forest = RandomForestRegressor(
         featuresCol="__scaled", labelCol=roles.risk, predictionCol="prediction",
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=1,
@@ -108,7 +112,7 @@ def train_clusters(
     k: int = REPORTED_K,
     seed: int = SWEEP_SEED,
     key: str | None = None,
-    parts: int = MODEL_PARTS,
+    parts: int | None = None,
 ) -> ModelBundle:
     """Cluster bundle: the predicted cluster stands for its mean risk share."""
     require_rows(history, "history")
@@ -116,7 +120,7 @@ def train_clusters(
     names = feature_names(history.drop(key) if key else history, roles)
     table = feature_table(history, labels, roles)
     rows = settle(project_features(table, names, [roles.risk]), "train")
-    rows = lay_out(rows, [*names, roles.risk], parts)
+    rows = lay_out(rows, [*names, roles.risk], parts_for(rows, parts))
     means = KMeans(
         featuresCol="__scaled", predictionCol="prediction", k=k, seed=seed,
         maxIter=SWEEP_ITERATIONS,
@@ -162,7 +166,7 @@ def kmeans_sweep(
     ks: Iterable[int] = SWEEP_RANGE,
     seed: int = SWEEP_SEED,
     iterations: int = SWEEP_ITERATIONS,
-    parts: int = MODEL_PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Inertia and silhouette per number of clusters.
 
@@ -172,7 +176,7 @@ def kmeans_sweep(
     """
     plain = settle(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "unscaled")
     # Laid out by the plain values: the last digits of scaled ones depend on the order of sums.
-    scaled = standardize(lay_out(plain, columns, parts), columns)
+    scaled = standardize(lay_out(plain, columns, parts_for(plain, parts)), columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(scaled)
     rows = vectors.select("features").persist()
     evaluator = ClusteringEvaluator(metricName="silhouette")
