@@ -57,6 +57,20 @@ def parse_number(text: Column | str) -> Column:
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def unparsed_number(text: Column | str) -> Column:
+    """Whether a text is neither missing nor a plain number; never null."""
+    text = drop_null_tokens(strip(text))
+    return text.isNotNull() & parse_number(text).isNull()
+
+
+def typed_number(text: Column | str) -> Column:
+    """Text to double; a missing value gives null, any other text that is no number fails."""
+    problem = F.concat(F.lit("not a number: "), column(text))
+    return F.when(unparsed_number(text), F.raise_error(problem).cast("double")).otherwise(
+        parse_number(text)
+    )
+
+
 def nan_to_null(value: Column | str) -> Column:
     value = column(value)
     return F.when(~F.isnan(value), value)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Sequence
+import csv
+import io
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from georisk.functions.scalars import drop_null_tokens
+from georisk.functions.scalars import drop_null_tokens, typed_number, unparsed_number
 from georisk.operators.cleaning import as_timestamp, prepare_occurrences, union_years
 from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.sinks import write_merged
@@ -16,50 +19,81 @@ from georisk.sinks import write_merged
 # Doubled quotes, as in common CSV writers, instead of Spark's backslash.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}
 
+Layouts = dict[tuple[str, ...], list[str]]
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match, in name order; only the listing is read."""
-    found = spark.read.format("binaryFile").load(pattern).select("path").orderBy("path")
-    return [row["path"] for row in found.collect()]  # one short text per file
 
+def first_line(path: str) -> str:
+    """The first line that is not blank, or an empty text; reads no more of the file than that."""
+    scheme, _, place = path.partition(":")
+    if scheme == "file":
+        system, place = pafs.LocalFileSystem(), "/" + place.lstrip("/")
+    else:
+        system, place = pafs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
+    with system.open_input_stream(place, buffer_size=1 << 16) as stream:
+        for line in io.TextIOWrapper(stream, encoding="utf-8-sig", newline=None):
+            if line.strip():
+                return line.rstrip("\n")
+    return ""
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file; reads its first line only."""
-    return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
 
+def first_lines(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(line=[first_line(path) for path in batch["path"]])
 
-def layouts(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by header, since one scan binds columns by position."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda path: header_of(spark, path), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        groups.setdefault(header, []).append(path)
+
+def layouts(spark: SparkSession, pattern: str) -> Layouts:
+    """Files grouped by header, since one scan binds columns by position.
+
+    One job, however many files there are: tasks open the first block of their
+    files. Like the scan itself, the driver holds one path per file, and each
+    different header once. Files without any line have no layout. The scan
+    checks the header again, so a wrong one fails.
+    """
+    files = spark.read.format("binaryFile").load(pattern).select("path")
+    found = files.mapInPandas(first_lines, "path string, line string")
+    groups: Layouts = {}
+    for path, line in sorted(found.collect()):  # one short text per file
+        if line:
+            groups.setdefault(tuple(next(csv.reader([line]))), []).append(path)
     return groups
 
 
 def scan_layout(
     spark: SparkSession, paths: Sequence[str], header: Sequence[str], roles: Roles = DEFAULT_ROLES
 ) -> DataFrame:
-    """One scan of all files with this header, types given and not inferred."""
-    schema = T.StructType([
-        T.StructField(name, T.DoubleType() if name in roles.numeric else T.StringType())
-        for name in header
-    ])
+    """One scan of all files with this header, all columns text."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = spark.read.options(**CSV_OPTIONS).schema(schema).csv(list(paths))
     texts = {name: drop_null_tokens(name) for name in header if name not in roles.numeric}
     return raw.select("*", F.col("_metadata.file_path").alias(roles.source)).withColumns(texts)
 
 
-def scan_yearly(spark: SparkSession, pattern: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """All yearly files as one table with a source column."""
-    paths = list_files(spark, pattern)
-    if not paths:
-        raise ValueError(f"no files match {pattern}")
-    groups = layouts(spark, paths)
+def scan_yearly_text(spark: SparkSession, pattern: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """All yearly files as one table with a source column; numbers stay text."""
+    groups = layouts(spark, pattern)
+    if not groups:
+        raise ValueError(f"no files with a header match {pattern}")
     return union_years([scan_layout(spark, files, head, roles) for head, files in groups.items()])
 
 
+def scan_yearly(spark: SparkSession, pattern: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """All yearly files as one typed table with a source column.
+
+    A text that is neither a number nor one of the texts for a missing value
+    fails when its column is read, so no row is lost for it without a word;
+    ``unparsed_counts`` tells how many there are in which column.
+    """
+    raw = scan_yearly_text(spark, pattern, roles)
+    return raw.withColumns({c: typed_number(c) for c in roles.numeric if c in raw.columns})
+
+
+def unparsed_counts(spark: SparkSession, pattern: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """Per file: rows, and values of each numeric column that are no numbers; missing ones are."""
+    raw = scan_yearly_text(spark, pattern, roles)
+    bad = [F.count_if(unparsed_number(c)).alias(c) for c in roles.numeric if c in raw.columns]
+    return raw.groupBy(roles.source).agg(F.count(F.lit(1)).alias("rows"), *bad)
+
+
 def load_yearly(spark: SparkSession, pattern: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Yearly files, cleaned and formatted."""
     return prepare_occurrences(scan_yearly(spark, pattern, roles), roles)

@@ -68,9 +68,9 @@ def history(spark, files):
 
 
 def test_layouts_and_scan(spark, files):
-    paths = O.list_files(spark, files)
-    assert [p[-8:-4] for p in paths] == ["2023", "2024", "2025"]
-    assert len(O.layouts(spark, paths)) == 3
+    found = O.layouts(spark, files)
+    assert sorted(p[-8:-4] for paths in found.values() for p in paths) == ["2023", "2024", "2025"]
+    assert len(found) == 3 and tuple(HEADER) in found
     raw = O.scan_yearly(spark, files)
     assert raw.count() == 450
     assert raw.filter("Latitude > -10 or Latitude < -12").isEmpty()
@@ -78,6 +78,47 @@ def test_layouts_and_scan(spark, files):
     assert raw.filter("Municipio like '%\", rural'").count() == 300
 
 
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, "counted")
+    work()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_headers_take_as_many_jobs_for_many_files(spark, tmp_path):
+    for count in (40, 120):  # beyond 32 paths Spark lists them in jobs of its own
+        (tmp_path / str(count)).mkdir()
+        for year in range(count):
+            (tmp_path / str(count) / f"{year}.csv").write_text("a,b\n1,2\n")
+    few = jobs_of(spark, "few", lambda: O.layouts(spark, f"{tmp_path}/40/*.csv"))
+    many = jobs_of(spark, "many", lambda: O.layouts(spark, f"{tmp_path}/120/*.csv"))
+    assert 0 < few == many
+
+
+def test_headers_of_odd_files(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "odd files"
+    folder.mkdir()
+    (folder / "empty.csv").write_text("")
+    (folder / "marked.csv").write_text('\ufeff"a, ""b""",c\r\n1,2\r\n', encoding="utf-8")
+    (folder / "packed.csv.gz").write_bytes(gzip.compress(b"c,d\n1,2\n"))
+    found = O.layouts(spark, f"{folder}/*")
+    assert set(found) == {('a, "b"', "c"), ("c", "d")}
+    rows = O.scan_yearly(spark, f"{folder}/*")
+    assert rows.count() == 2 and set(rows.columns) == {'a, "b"', "c", "d", "source_file"}
+
+
+def test_numbers_that_do_not_parse_fail_and_are_counted(spark, tmp_path):
+    good = dict(line(random.Random(2), 2024, False), DiaSemChuva=3, RiscoFogo=0.5)
+    spoiled = [dict(good, FRP=text) for text in ("1d", "12,5", " 4", "abc", "0x10", "NA", "")]
+    text = [",".join(HEADER)] + [",".join(quoted(r[c]) for c in HEADER) for r in [good, *spoiled]]
+    (tmp_path / "a.csv").write_text("\n".join(text) + "\n")
+    counts = O.unparsed_counts(spark, f"{tmp_path}/*.csv").first()
+    assert (counts["rows"], counts["FRP"], counts["Latitude"]) == (8, 4, 0)
+    with pytest.raises(Exception, match="not a number"):
+        O.load_yearly(spark, f"{tmp_path}/*.csv").collect()
+
+
 def test_no_files_is_an_error(spark, tmp_path):
     with pytest.raises(Exception):
         O.scan_yearly(spark, f"{tmp_path}/none/*.csv")
