@@ -172,7 +172,7 @@ SHARES = """shares AS (
 # --- scenario ----------------------------------------------------------------
 
 
-def scenario(history: str) -> str:
+def scenario(history: str, total: str = "SELECT count(*) AS n FROM hist") -> str:
     """Steps from a `hist` table to `measured`, the whole scenario."""
     dry_season = "month BETWEEN 5 AND 10"
 
@@ -186,7 +186,7 @@ def scenario(history: str) -> str:
 
         return f"CASE WHEN {dry_season} THEN {span(*dry)} ELSE {span(*wet)} END"
 
-    return history + f""", {SHARES}, total AS (SELECT count(*) AS n FROM hist),
+    return history + f""", {SHARES}, total AS ({total}),
 planned AS (
   SELECT CAST(m AS INTEGER) AS month, CAST(floor((SELECT n FROM total)
     * coalesce(share, CAST(1 AS DOUBLE) / CAST(12 AS DOUBLE))) AS BIGINT) AS part
@@ -246,6 +246,9 @@ planned AS (
 
 SCENARIO = scenario(HIST)
 
+DEFAULT_SIZE = scenario(HIST, f"""SELECT 45000 + CAST(floor({uniform("0", "total", 0)}
+  * 15001) AS BIGINT) AS n""")
+
 JANUARY = scenario("""hist AS (
   SELECT CAST(ts AS DATE) AS event_date, event_type AS region,
     'user ' || CAST(user_id AS VARCHAR) AS locality, CAST(event_id % 30 AS DOUBLE) AS dry_days,
@@ -307,7 +310,68 @@ def sampled(rows: str, size: str) -> str:
     return f"SELECT * FROM ({rows}) ORDER BY {draw}, occ_id LIMIT {size}"
 
 
+PLANTED_GROUPS = OCC + """, plain AS (
+  SELECT occ_id % 3 AS g, CAST(occ_id % 3 * 100 + occ_id % 7 AS DOUBLE) AS a,
+    CAST((occ_id % 3) * (occ_id % 3) * 50 + occ_id % 5 AS DOUBLE) AS b FROM occ
+), points AS (
+  SELECT g, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS x,
+    (b - avg(b) OVER ()) / stddev_pop(b) OVER () AS y FROM plain
+), centres AS (
+  SELECT g AS c, avg(x) AS cx, avg(y) AS cy, var_pop(x) + var_pop(y) AS inner_spread, count(*) AS n
+  FROM points GROUP BY 1
+), distances AS (
+  SELECT g, x, y, c, n, power(x - cx, 2) + power(y - cy, 2) AS off,
+    power(x - cx, 2) + power(y - cy, 2) + inner_spread AS mean_square
+  FROM points CROSS JOIN centres
+), kinds AS (
+  SELECT g, x, y, count(*) FILTER (g = c) AS copies,
+    max(CASE WHEN g = c THEN off END) AS off,
+    max(CASE WHEN g = c THEN mean_square * n / (n - 1) END) AS own,
+    min(CASE WHEN g <> c THEN mean_square END) AS other
+  FROM distances GROUP BY g, x, y
+)"""
+
+
 ORACLES: dict[str, str] = {
+    "spoiled_file_numbers": f"""WITH {OCC}
+SELECT CASE WHEN year(event_ts) % 2 = 0 THEN 'even' ELSE 'odd' END AS part, count(*) AS rows,
+  count(*) FILTER (occ_id % 37 = 0) AS lat, count(*) FILTER (occ_id % 43 = 0) AS lon,
+  count(*) FILTER (occ_id % 47 = 0) AS precip
+FROM occ GROUP BY 1""",
+    "missing_columns": f"""WITH {OCC}
+SELECT CASE WHEN year(event_ts) % 2 = 0 THEN '' ELSE 'region, frp' END AS lacking, count(*) AS rows
+FROM occ GROUP BY 1""",
+    "guarded_occurrences": f"WITH {OCC} SELECT * FROM occ WHERE event_ts IS NOT NULL",
+    "features_with_sources": f"""WITH {HIST} SELECT occ_id, event_date, region, locality,
+  CAST(year(event_date) AS INTEGER) AS year, CAST(dayofyear(event_date) AS INTEGER) AS day_of_year,
+  CAST(dense_rank() OVER (ORDER BY region) - 1 AS INTEGER) AS region_code,
+  CAST(dense_rank() OVER (ORDER BY locality) - 1 AS INTEGER) AS locality_code FROM hist""",
+    "metric_files": f"""WITH {SCORES}
+SELECT year, "MAE", "RMSE", "R2", n, accuracy_margin FROM scores""",
+    "holdout_quality": f"""WITH {SCORED}, unseen AS (
+  SELECT *, risk - predicted AS off FROM scored WHERE {uniform("occ_id", "split", 0)} >= 0.8)
+SELECT round(avg(abs(off)), 6) AS "MAE", round(sqrt(avg(off * off)), 6) AS "RMSE",
+  round(1 - avg(off * off) / var_pop(risk), 6) AS "R2", count(*) AS n,
+  round(avg(CASE WHEN abs(off) <= 10 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6)
+    AS accuracy_margin
+FROM unseen""",
+    "default_quota": f"WITH {DEFAULT_SIZE} SELECT month, quota FROM quotas",
+    "forecast_month_files": f"""WITH {FORECAST}
+SELECT event_date, CAST(month(event_date) AS INTEGER) AS month, {FORECAST_ROWS}""",
+    "planted_forest": f"""WITH {HIST}, steps AS (
+  SELECT * REPLACE (CAST(20 + CASE WHEN dry_days >= 30 THEN 40 ELSE 0 END
+    + CASE WHEN month(event_date) = 7 THEN 15 ELSE 0 END AS DOUBLE) AS risk) FROM hist)
+SELECT occ_id, event_date, region, locality, risk, CAST(risk AS INTEGER) AS predicted FROM steps""",
+    "planted_sweep": f"""WITH {PLANTED_GROUPS}
+SELECT CAST(3 AS INTEGER) AS k, round(sum(copies * off), 4) AS inertia,
+  round(sum(copies * (other - own) / greatest(own, other)) / sum(copies), 6) AS silhouette
+FROM kinds""",
+    "best_k_of_table": f"""WITH {HIST}, sweep AS (
+  SELECT CAST(occ_id % 18 + 2 AS INTEGER) AS k,
+    CAST(((occ_id % 18 + 2) * 7) % 6 AS DOUBLE) / CAST(8 AS DOUBLE) AS silhouette FROM hist)
+SELECT min(k) AS k, max(silhouette) AS silhouette,
+  (SELECT max(silhouette) FROM sweep WHERE k = 12) AS reported_silhouette
+FROM sweep WHERE silhouette = (SELECT max(silhouette) FROM sweep)""",
     "drop_sentinels": f"WITH {OCC} SELECT * FROM occ WHERE {NO_SENTINEL}",
     "drop_nulls": f"WITH {OCC} SELECT * FROM occ WHERE {MEASURED}",
     "drop_missing_coords": f"WITH {SPOILED} SELECT * FROM spoiled WHERE {LOCATED}",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from driver_queries.view import ROLES, cleaned, history, january, occurrences, scored
 from georisk.functions import scalars as S
@@ -23,9 +23,15 @@ from georisk.operators import (
 )
 from georisk.operators.ordering import exact_median
 from georisk.plans.forecast import forecast, load_or_train
-from georisk.sinks import write_csv, write_feed, write_forecast
+from georisk.sinks import write_csv, write_feed, write_forecast, write_metrics
 from georisk.sources.forecast import load_forecast_text, scan_forecast
-from georisk.sources.occurrences import load_merged, load_yearly
+from georisk.sources.occurrences import (
+    layouts,
+    load_merged,
+    load_yearly,
+    scan_layout,
+    unparsed_counts,
+)
 from georisk.workspace import new_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +152,44 @@ def write_yearly_files(spark, sf_dir):
     return f"{folder}/*/*.csv"
 
 
+def spoiled_file_numbers(spark, sf_dir):
+    """Rows and values that are no numbers, per yearly file with spoiled ones."""
+    folder, key = new_path(spark, "spoiled"), F.col("occ_id")
+    spoiled = occurrences(spark, sf_dir).select(
+        "occ_id", "region",
+        F.when(key % 37 == 0, "12,5").when(key % 41 == 0, "NaN")
+        .otherwise(F.concat(F.lit(" "), F.col("lat").cast("string"))).alias("lat"),
+        F.when(key % 43 == 0, "1d").otherwise(F.col("lon").cast("string")).alias("lon"),
+        F.when(key % 47 == 0, "0x10").otherwise(F.col("precip").cast("string")).alias("precip"),
+        F.when(F.year("event_ts") % 2 == 0, "even").otherwise("odd").alias("part"),
+    )
+    spoiled.write.partitionBy("part").options(header="true", escape='"').csv(folder)
+    counts = unparsed_counts(spark, f"{folder}/*/*.csv", ROLES)
+    part = F.regexp_extract("source_file", "part=([a-z]+)/", 1).alias("part")
+    sums = [F.sum(name).alias(name) for name in ("rows", "lat", "lon", "precip")]
+    return counts.groupBy(part).agg(*sums)
+
+
+def missing_columns(spark, sf_dir):
+    """Rows per set of columns that yearly files lack."""
+    folder, even = new_path(spark, "lacking"), F.year("event_ts") % 2 == 0
+    raw = occurrences(spark, sf_dir).withColumn("event_ts", F.date_format("event_ts", "yyyy-MM-dd"))
+    for name, part in (("even", raw.filter(even)), ("odd", raw.filter(~even).drop("frp", "region"))):
+        part.write.options(header="true", escape='"').csv(f"{folder}/{name}")
+    found = []
+    for header, files in layouts(spark, f"{folder}/*/*.csv").items():
+        part = scan_layout(spark, files, header, ROLES)
+        lacking = ", ".join(cleaning.missing_columns(part, RAW))
+        found.append(part.agg(F.lit(lacking).alias("lacking"), F.count(F.lit(1)).alias("rows")))
+    return cleaning.union_years(found)
+
+
+def guarded_occurrences(spark, sf_dir):
+    """Occurrences that have all columns, any row, and only valid times."""
+    rows = cleaning.require_columns(occurrences(spark, sf_dir), RAW)
+    return cleaning.require_valid_time(cleaning.require_rows(rows, "occurrences"), "event_ts").select(*RAW)
+
+
 def from_files(df):
     return df.withColumn("occ_id", F.col("occ_id").cast("long")).select(*TYPED)
 
@@ -232,6 +276,15 @@ def feature_table(spark, sf_dir):
     return calendar.project_features(table, names, [ROLES.risk])
 
 
+def features_with_sources(spark, sf_dir):
+    """Features next to the date and the categories they come from."""
+    rows = history(spark, sf_dir)
+    labels = models.fit_category_labels(rows, ROLES)
+    kept = ("event_date", *ROLES.categories)
+    table = calendar.feature_table(rows, labels, ROLES, keep=kept)
+    return table.select("occ_id", *kept, "year", "day_of_year", "region_code", "locality_code")
+
+
 # --- evaluation --------------------------------------------------------------
 
 METRICS = ("MAE", "RMSE", "R2")
@@ -245,6 +298,27 @@ def margin_accuracy_by_year(spark, sf_dir):
     return rounded(evaluation.margin_by_year(scored(spark, sf_dir), ROLES), ["accuracy_margin"])
 
 
+def metric_files(spark, sf_dir):
+    """Both metric files, written and read back."""
+    folder = new_path(spark, "metrics")
+    scores = rounded(evaluation.yearly_scores(scored(spark, sf_dir), ROLES), [*METRICS, "accuracy_margin"])
+    write_metrics(scores, folder, ROLES)
+
+    def read(name, columns):
+        return spark.read.options(header="true", enforceSchema="false").schema(columns).csv(f"{folder}/{name}")
+
+    fits = read("metrics_continuas_por_ano.csv", "year int, MAE double, RMSE double, R2 double, n bigint")
+    hits = read("metrics_margem_por_ano.csv", "year int, accuracy_margin double, n bigint")
+    return fits.join(hits, ["year", "n"])
+
+
+def holdout_quality(spark, sf_dir):
+    """One row of metrics over the rows that training leaves out."""
+    marked = models.mark_held_out(scored(spark, sf_dir), ROLES, key="occ_id")
+    found = evaluation.overall_scores(marked.filter(models.HELD_OUT), ROLES)
+    return rounded(found, [*METRICS, "accuracy_margin"])
+
+
 def metric_chart_feed(spark, sf_dir):
     scores = evaluation.yearly_scores(scored(spark, sf_dir), ROLES)
     return rounded(evaluation.metric_chart_feed(scores, ROLES), ["value"])
@@ -329,6 +403,12 @@ def month_quota(spark, sf_dir):
     return scenario.month_quota(known.shares, known.rows, ROLES)
 
 
+def default_quota(spark, sf_dir):
+    """Rows per month of a scenario of the default size."""
+    known = profiled(history(spark, sf_dir))
+    return scenario.month_quota(known.shares, scenario.scenario_total(spark, SEED), ROLES)
+
+
 def scenario_rows(spark, sf_dir):
     known = profiled(history(spark, sf_dir))
     quotas = scenario.month_quota(known.shares, known.rows, ROLES)
@@ -406,6 +486,14 @@ def forecast_csv_round_trip(spark, sf_dir):
     return scan_forecast(spark, path, ROLES)
 
 
+def forecast_month_files(spark, sf_dir):
+    """The forecast written by month and read back."""
+    path = new_path(spark, "by-month")
+    write_forecast(scenario_forecast(spark, sf_dir), path, ROLES, by_month=True)
+    kinds = T.StructType([*scan_forecast(spark, path, ROLES).schema, T.StructField("month", T.IntegerType())])
+    return spark.read.options(header="true", quote='"', escape='"').schema(kinds).csv(path)
+
+
 def forecast_by_month(spark, sf_dir):
     return risk.forecast_by_month(scenario_forecast(spark, sf_dir), ROLES)
 
@@ -488,6 +576,20 @@ def forest_scores(spark, sf_dir):
     return found.select("occ_id", "event_date", "region", "locality", "risk", "predicted")
 
 
+def planted_forest(spark, sf_dir):
+    """The published forest on a risk that is a step function of dry days and month.
+
+    Every leaf is pure then, so the saved and loaded model gives the risk back.
+    """
+    step = F.lit(20.0) + F.when(F.col("dry_days") >= 30, 40.0).otherwise(0.0)
+    step += F.when(F.month("event_date") == 7, 15.0).otherwise(0.0)
+    rows = settle(history(spark, sf_dir).withColumn("risk", step), "planted")
+    path = new_path(spark, "bundle")
+    load_or_train(spark, path, rows, ROLES, key="occ_id")
+    found = models.score_history(rows, load_or_train(spark, path, rows, ROLES), ROLES)
+    return found.select("occ_id", "event_date", "region", "locality", "risk", "predicted")
+
+
 def forecast_scores(spark, sf_dir):
     rows = settle(history(spark, sf_dir), "history")
     bundle = small_forest(spark, rows)
@@ -504,7 +606,8 @@ def cluster_forecast(spark, sf_dir):
 
 
 def sweep(spark, sf_dir):
-    return models.kmeans_sweep(history(spark, sf_dir), list(SCALED), range(2, 6), iterations=20)
+    rows = settle(history(spark, sf_dir), "history")
+    return models.kmeans_sweep(*models.all_features(rows, ROLES, key="occ_id"))
 
 
 def kmeans_sweep(spark, sf_dir):
@@ -513,16 +616,38 @@ def kmeans_sweep(spark, sf_dir):
 
 def best_k(spark, sf_dir):
     return rounded(
-        models.best_k(sweep(spark, sf_dir), reported=5), ["silhouette", "reported_silhouette"]
+        models.best_k(sweep(spark, sf_dir)), ["silhouette", "reported_silhouette"]
     )
 
 
+def planted_sweep(spark, sf_dir):
+    """Three groups far apart: the sweep must give their inertia and silhouette."""
+    key = F.col("occ_id")
+    rows = occurrences(spark, sf_dir).select(
+        (key % 3 * 100 + key % 7).cast("double").alias("a"),
+        (key % 3 * (key % 3) * 50 + key % 5).cast("double").alias("b"),
+    )
+    found = models.kmeans_sweep(rows, ["a", "b"], [3])
+    return found.select("k", F.round("inertia", 4).alias("inertia"), r6("silhouette").alias("silhouette"))
+
+
+def best_k_of_table(spark, sf_dir):
+    """The best k of a made-up sweep with ties."""
+    rows = history(spark, sf_dir).groupBy((F.col("occ_id") % 18 + 2).cast("int").alias("k"))
+    made_up = rows.agg(F.count(F.lit(1)).cast("double").alias("inertia"))
+    silhouette = (F.col("k") * 7 % 6).cast("double") / F.lit(8.0)
+    return models.best_k(made_up.withColumn("silhouette", silhouette))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         drop_sentinels, drop_nulls, drop_missing_coords, clean_counts, any_invalid_date,
         rescale_risk, union_years, drop_repeated_header, coerce_text, distinct_days, year_filter,
         csv_yearly_scan, merged_table_scan, dirty_forecast_scan,
+        spoiled_file_numbers, missing_columns, guarded_occurrences, features_with_sources,
+        metric_files, holdout_quality, default_quota, forecast_month_files,
+        planted_forest, planted_sweep, best_k_of_table,
         month_one_hot, calendar_parts, month_lengths, label_encode, label_decode, standardize,
         numeric_only, feature_table,
         metrics_by_year, margin_accuracy_by_year, metric_chart_feed, outcome_class, error_map,

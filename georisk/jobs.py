@@ -4,6 +4,9 @@
     evaluate  history files -> yearly metrics, error map and heat tables
     maps      history files -> map feed by year; forecast file -> forecast feed
     check     forecast file -> counts and days of the valid rows
+    sweep     history files -> inertia and silhouette per number of clusters
+    year      map feed -> the points of one year, or of the latest one
+    numbers   history files -> values per file and column that are no numbers
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from georisk.operators.cleaning import clean_counts, coerce_text, drop_repeated_header, present
+from georisk.operators.models import all_features, best_k, kmeans_sweep
 from georisk.operators.profile import date_range, distinct_places, edge_days, history_report
 from georisk.operators.risk import (
     cluster_counts,
@@ -24,10 +28,15 @@ from georisk.operators.risk import (
 from georisk.functions.scalars import all_of
 from georisk.plans.evaluation import MAP_YEAR, run_evaluation
 from georisk.plans.forecast import load_or_train, run_forecast
-from georisk.plans.yearly_maps import build_forecast_map, build_yearly_maps
+from georisk.plans.yearly_maps import (
+    DEFAULT_YEAR,
+    build_forecast_map,
+    build_yearly_maps,
+    read_year,
+)
 from georisk.roles import DEFAULT_ROLES
 from georisk.sources.forecast import load_forecast_text, scan_forecast_text
-from georisk.sources.occurrences import load_merged
+from georisk.sources.occurrences import load_merged, unparsed_counts
 from georisk.workspace import build_session, drop_settled, settle
 
 
@@ -52,8 +61,13 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--seed", type=int, default=4224)
         else:
             sub.add_argument("--year", type=int, default=MAP_YEAR)
+            sub.add_argument("--sample", type=int, help="at most this many points on the error map")
+            sub.add_argument("--key", help="column that draws the sample")
     job("maps", "files", "out").add_argument("--forecast")
     job("check", "forecast")
+    job("sweep", "files", "merged", "out").add_argument("--refresh", action="store_true")
+    job("year", "feed", "out").add_argument("--year", type=int, default=DEFAULT_YEAR)
+    job("numbers", "files", "out")
     return top
 
 
@@ -80,8 +94,11 @@ def evaluate_job(spark: SparkSession, options: argparse.Namespace) -> None:
     bundle = load_or_train(
         spark, options.model, history, trees=options.trees, depth=options.depth
     )
-    scores = run_evaluation(history, bundle, options.out, options.year)
+    scores = run_evaluation(
+        history, bundle, options.out, options.year, sample=options.sample, key=options.key
+    )
     scores.orderBy(DEFAULT_ROLES.year).show(scores.count(), truncate=False)
+    spark.read.parquet(f"{options.out}/holdout").show(truncate=False)
 
 
 def maps_job(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -99,8 +116,25 @@ def check_job(spark: SparkSession, options: argparse.Namespace) -> None:
     edge_days(rows, roles.date).orderBy("day").show()
 
 
+def sweep_job(spark: SparkSession, options: argparse.Namespace) -> None:
+    history = load_merged(spark, options.files, options.merged, refresh=options.refresh)
+    found = settle(kmeans_sweep(*all_features(history)), "sweep")
+    found.write.mode("overwrite").parquet(options.out)
+    found.orderBy("k").show(found.count(), truncate=False)
+    best_k(found).show(truncate=False)
+
+
+def year_job(spark: SparkSession, options: argparse.Namespace) -> None:
+    read_year(spark, options.feed, options.year).write.mode("overwrite").parquet(options.out)
+
+
+def numbers_job(spark: SparkSession, options: argparse.Namespace) -> None:
+    unparsed_counts(spark, options.files).write.mode("overwrite").parquet(options.out)
+
+
 JOBS = {
     "forecast": forecast_job, "evaluate": evaluate_job, "maps": maps_job, "check": check_job,
+    "sweep": sweep_job, "year": year_job, "numbers": numbers_job,
 }
 
 

@@ -17,7 +17,22 @@ MARGIN = 10.0  # fixed value: a hit is at most this far off
 def yearly_scores(
     df: DataFrame, roles: Roles = DEFAULT_ROLES, truth: str | None = None, margin: float = MARGIN
 ) -> DataFrame:
-    """All metrics of all years in one aggregation; rows without a year drop out.
+    """All metrics of all years in one aggregation; rows without a year drop out."""
+    known = df.filter(F.col(roles.year).isNotNull())
+    return scores_by(known, [roles.year], roles, truth, margin)
+
+
+def overall_scores(
+    df: DataFrame, roles: Roles = DEFAULT_ROLES, truth: str | None = None, margin: float = MARGIN
+) -> DataFrame:
+    """The same metrics over all rows, as one row."""
+    return scores_by(df, [], roles, truth, margin)
+
+
+def scores_by(
+    df: DataFrame, keys: list[str], roles: Roles, truth: str | None, margin: float
+) -> DataFrame:
+    """Metrics per group of ``keys``.
 
     R2 is one minus the squared error over the spread of the truth. Without any
     spread it is 1 if there is no error and else 0; a single row gives NaN.
@@ -25,7 +40,7 @@ def yearly_scores(
     truth = truth or roles.risk
     y, p = F.col(truth).cast("double"), F.col(roles.prediction).cast("double")
     error = S.absolute_error(y, p)
-    sums = df.filter(F.col(roles.year).isNotNull()).groupBy(roles.year).agg(
+    sums = df.groupBy(*keys).agg(
         F.avg(error).alias("MAE"),
         F.avg(error * error).alias("__mse"),
         F.var_pop(y).alias("__spread"),
@@ -39,7 +54,7 @@ def yearly_scores(
         .otherwise(F.lit(1.0) - F.try_divide("__mse", "__spread"))
     )
     return sums.select(
-        roles.year, "MAE", F.sqrt("__mse").alias("RMSE"), r2.alias("R2"), "n", "accuracy_margin"
+        *keys, "MAE", F.sqrt("__mse").alias("RMSE"), r2.alias("R2"), "n", "accuracy_margin"
     )
 
 

@@ -16,7 +16,7 @@ from georisk.functions.scalars import clip, round_half_even
 from georisk.operators.calendar import feature_names, feature_table, project_features
 from georisk.operators.cleaning import require_rows
 from georisk.operators.encoding import Labels, fit_labels
-from georisk.operators.sampling import split_by_key
+from georisk.operators.sampling import held_out
 from georisk.operators.scaling import standardize
 from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.workspace import lay_out, settle
@@ -35,6 +35,7 @@ SWEEP_ITERATIONS = 300
 # follows the number of rows (or is given), and never the cluster.
 LEAST_PARTS, PART_ROWS = 8, 250_000
 
+HELD_OUT = "held_out"
 _ROW_KEY = "__row_key"
 
 
@@ -56,6 +57,24 @@ def fit_category_labels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Labels:
     return fit_labels(df, [name for name in roles.categories if name in df.columns])
 
 
+def mark_held_out(
+    history: DataFrame,
+    roles: Roles = DEFAULT_ROLES,
+    key: str | None = None,
+    train_share: float = TRAIN_SHARE,
+    seed: int = SEED,
+) -> DataFrame:
+    """Rows with ``held_out``: whether training under these settings leaves them out.
+
+    Without a row key the split is by a hash of the row, without the name of its
+    file, so moving files changes no model.
+    """
+    split_key = F.col(key) if key else F.xxhash64(
+        *sorted(name for name in history.columns if name != roles.source))
+    keyed = history.withColumn(_ROW_KEY, split_key)
+    return keyed.withColumn(HELD_OUT, held_out(_ROW_KEY, train_share, seed)).drop(_ROW_KEY)
+
+
 def parts_for(table: DataFrame, parts: int | None) -> int:
     return parts or max(LEAST_PARTS, -(-table.count() // PART_ROWS))
 
@@ -82,17 +101,13 @@ def train_forest(
     """Fit the risk forest on the training part of a history.
 
     The feature table is written once: the scaler and every level of the trees
-    read it again. Without a row key the split is by a hash of the row, without
-    the name of its file, so moving files changes no model.
+    read it again. ``mark_held_out`` tells which rows are left for testing.
     """
     require_rows(history, "history")
     labels = fit_category_labels(history, roles)
     names = feature_names(history.drop(key) if key else history, roles)
-    split_key = F.col(key) if key else F.xxhash64(
-        *sorted(name for name in history.columns if name != roles.source))
-    train, _ = split_by_key(
-        history.withColumn(_ROW_KEY, split_key), _ROW_KEY, train_share, seed
-    )
+    marked = mark_held_out(history, roles, key, train_share, seed)
+    train = marked.filter(~F.col(HELD_OUT)).drop(HELD_OUT)
     table = feature_table(train, labels, roles)
     train_rows = settle(project_features(table, names, [roles.risk]), "train")
     train_rows = lay_out(train_rows, [*names, roles.risk], parts_for(train_rows, parts))
@@ -160,6 +175,15 @@ def score_scenario(
     return scored.select(*scenario.columns, score)
 
 
+def all_features(
+    history: DataFrame, roles: Roles = DEFAULT_ROLES, key: str | None = None
+) -> tuple[DataFrame, list[str]]:
+    """The feature table of a whole history and its columns, as the sweep takes them."""
+    labels = fit_category_labels(history, roles)
+    names = feature_names(history.drop(key) if key else history, roles)
+    return project_features(feature_table(history, labels, roles), names), names
+
+
 def kmeans_sweep(
     df: DataFrame,
     columns: list[str],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from georisk import jobs
 from georisk.operators import feeds, models
 from georisk.operators.cleaning import year_or_latest
+from georisk.operators.evaluation import overall_scores
 from georisk.operators.risk import forecast_output
 from georisk.plans.evaluation import run_evaluation
 from georisk.plans.forecast import forecast, load_or_train
@@ -179,6 +180,21 @@ def test_forest_learns(spark):
     assert error < 3
 
 
+def test_held_out_rows_are_those_training_leaves(spark, history):
+    marked = models.mark_held_out(history)
+    moved = models.mark_held_out(history.withColumn("source_file", F.lit("elsewhere")))
+    assert 0 < marked.filter(models.HELD_OUT).count() < history.count() / 2
+    assert marked.drop("source_file").exceptAll(moved.drop("source_file")).isEmpty()
+    assert models.mark_held_out(history, train_share=1.0).filter(models.HELD_OUT).isEmpty()
+    assert models.mark_held_out(history.filter(F.lit(False))).isEmpty()
+
+
+def test_scores_of_no_rows(spark):
+    empty = spark.createDataFrame([], "RiscoFogo double, Risco_pred int")
+    row = overall_scores(empty).first()
+    assert row["n"] == 0 and row["MAE"] is None
+
+
 def test_forecast_file_round_trip(spark, history, tmp_path):
     bundle = models.train_forest(history, **SMALL)
     result = settle(forecast(history, bundle, total=400, seed=5))
@@ -293,9 +309,19 @@ def test_jobs(spark, files, tmp_path, monkeypatch, capsys):
               "--trees", "2", "--depth", "3"]
     jobs.main(["forecast", *shared, "--out", f"{tmp_path}/f.csv", "--total", "300"])
     assert scan_forecast(spark, f"{tmp_path}/f.csv").count() == 300
-    jobs.main(["evaluate", *shared, "--out", f"{tmp_path}/eval"])
+    jobs.main(["evaluate", *shared, "--out", f"{tmp_path}/eval", "--sample", "5", "--key", "Latitude"])
+    assert spark.read.parquet(f"{tmp_path}/eval/error_map").count() == 5
+    assert 0 < spark.read.parquet(f"{tmp_path}/eval/holdout").first()["n"] < 250
     jobs.main(["maps", "--files", files, "--out", f"{tmp_path}/maps", "--forecast", f"{tmp_path}/f.csv"])
     assert spark.read.parquet(f"{tmp_path}/maps/forecast").count() == 300
+    jobs.main(["year", "--feed", f"{tmp_path}/maps/years", "--out", f"{tmp_path}/y", "--year", "2023"])
+    assert {r["ano"] for r in spark.read.parquet(f"{tmp_path}/y").select("ano").collect()} == {2023}
+    jobs.main(["numbers", "--files", files, "--out", f"{tmp_path}/n"])
+    counted = spark.read.parquet(f"{tmp_path}/n").agg(F.sum("rows"), F.sum("FRP")).first()
+    assert tuple(counted) == (450, 0)
+    monkeypatch.setattr(jobs, "kmeans_sweep", lambda rows, names: models.kmeans_sweep(rows, names, [2, 3]))
+    jobs.main(["sweep", "--files", files, "--merged", f"{tmp_path}/m", "--out", f"{tmp_path}/s"])
+    assert spark.read.parquet(f"{tmp_path}/s").count() == 2
     jobs.main(["check", "--forecast", f"{tmp_path}/f.csv"])
     assert "rows_before" in capsys.readouterr().out
 
