@@ -41,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="georisk-"))
         root = context.getCheckpointDir()
