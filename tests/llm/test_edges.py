@@ -223,6 +223,18 @@ def test_substring_cases(spark, odd_docs, no_docs):
     assert found[0]["matched"] == 79
 
 
+def passages_of(spark, *texts):
+    docs = spark.createDataFrame([(i + 1, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = substring_dedup.repeated_passages(docs).collect()
+    return sorted((r["doc_id"], r["source_doc_id"], r["start_word"], r["n_words"], r["source_start"]) for r in rows)
+
+
+def test_passages_with_unrelated_text_between_them(spark):
+    head, foot = [f"h{i}" for i in range(100)], [f"f{i}" for i in range(100)]
+    one, two = ([f"{c}{i}" for i in range(120)] for c in "xy")
+    assert passages_of(spark, head + one + foot, head + two + foot) == [(2, 1, 0, 100, 0), (2, 1, 220, 100, 220)]
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):
