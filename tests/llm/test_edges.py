@@ -235,6 +235,15 @@ def test_passages_with_unrelated_text_between_them(spark):
     assert passages_of(spark, head + one + foot, head + two + foot) == [(2, 1, 0, 100, 0), (2, 1, 220, 100, 220)]
 
 
+@pytest.mark.parametrize("every", [5, 6, 8])
+def test_passage_with_regular_changes(spark, every):
+    shared = [f"p{i}" for i in range(120)]
+    changed = [f"e{i}" if i % every == every - 1 else w for i, w in enumerate(shared)]
+    own = [[f"{c}{i}" for i in range(40)] for c in "bc"]
+    found = passages_of(spark, own[0] + shared + own[0][::-1], own[1] + changed + own[1][::-1])
+    assert [(d, s) for d, s, *_ in found] == [(2, 1)] and found[0][3] >= 115
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):
