@@ -235,6 +235,15 @@ def test_passages_with_unrelated_text_between_them(spark):
     assert passages_of(spark, head + one + foot, head + two + foot) == [(2, 1, 0, 100, 0), (2, 1, 220, 100, 220)]
 
 
+def test_exact_passage_whose_stretches_earlier_documents_hold(spark):
+    shared = [f"p{i}" for i in range(60)]
+    parts = [shared[i:i + 20] + [f"a{i}_{j}" for j in range(40)] for i in range(0, 60, 4)]
+    own = [[f"{c}{i}" for i in range(40)] for c in "bc"]
+    n = len(parts)
+    found = passages_of(spark, *parts, own[0] + shared + own[0][::-1], own[1] + shared + own[1][::-1])
+    assert (n + 2, n + 1, 40, 60, 40) in found
+
+
 @pytest.mark.parametrize("every", [5, 6, 8])
 def test_passage_with_regular_changes(spark, every):
     shared = [f"p{i}" for i in range(120)]
