@@ -49,15 +49,16 @@ EDGE, OTHER = "^", "\x00"
 
 _SIGN = re.escape("".join(STANDS_FOR))
 _LETTER = r"[^\W\d_]"
+_APART = rf"(?<![\w{_SIGN}])(?:[\w{_SIGN}][{re.escape(SEPARATORS)}]{{1,2}}){{3"
 DISGUISED = re.compile(
     # single characters set apart
-    rf"(?<![\w{_SIGN}])(?:[\w{_SIGN}][ \t.\-_*~]{{1,2}}){{3,}}[\w{_SIGN}](?![\w{_SIGN}])"
+    rf"{_APART},}}[\w{_SIGN}](?![\w{_SIGN}])"
     # letters with signs among or before them
     rf"|(?<![\w{_SIGN}])(?=[\w{_SIGN}]*[{_SIGN}][\w{_SIGN}]*{_LETTER})[\w{_SIGN}]*{_LETTER}[\w{_SIGN}]*(?<![!|])"
     # a letter three times or more
     rf"|{_LETTER}*({_LETTER})\1\1{_LETTER}*")
-# A cheap sign that a text may hold single characters set apart by blanks.
-APART = re.compile(r"(?<!\S)\S[ \t]{1,2}\S[ \t]{1,2}\S[ \t]")
+# How every span of single characters set apart begins.
+APART = re.compile(_APART + "}")
 WORD = re.compile(_LETTER + "+")
 DOUBLED = re.compile(r"(.)\1")
 RUN = re.compile(r"(.)\1+")
@@ -273,7 +274,7 @@ class Scale:
     def __init__(self, entries: dict[str, tuple[int, int, int]], words: tuple[int, int]):
         self.entries, self.words = entries, words
         self.memo: dict[str, float] = {}
-        self.tokens: dict[str, tuple] = {}
+        self.tokens: dict[tuple[str, bool], tuple] = {}
 
     def odds(self, docs: int, toxic: int, clean: int) -> float:
         if docs < LEAST_DOCUMENTS or toxic <= 0:
@@ -290,9 +291,9 @@ class Scale:
             self.memo[word] = known
         return known
 
-    def token(self, token: str, reader: Reader) -> tuple[int, tuple[tuple[str, float], ...]]:
+    def token(self, token: str, reader: Reader, restored: bool) -> tuple[int, tuple[tuple[str, float], ...]]:
         """Restored words of a token: their number, and those that speak for toxicity."""
-        words = WORD.findall(reader.restore(token))
+        words = WORD.findall(token if restored else reader.restore(token))
         told = []
         for word in words:
             weight = self.weight(word)
@@ -306,19 +307,23 @@ class Scale:
     def telling(self, text: str, reader: Reader) -> tuple[list[tuple[float, int]], int]:
         """(weight, uses) of the telling words of a restored text, and its number of words.
 
-        Only spans of blanks need the whole text; all other disguises lie within
-        a token, so each distinct token is restored and weighed once.
+        Only single characters set apart can reach over blanks and need the whole
+        text; all other disguises lie within a token, so each distinct token is
+        restored and weighed once.
         """
-        text = reader.restore(text) if APART.search(text) else text.lower()
+        text = text.lower()
+        restored = APART.search(text) is not None
+        if restored:
+            text = reader.restore(text)
         words, found = 0, {}
         for token, n in Counter(text.split()).items():
-            known = self.tokens.get(token)
+            known = self.tokens.get((token, restored))
             if known is None:
                 if len(self.tokens) > MEMO:
                     self.tokens.clear()
-                known = self.token(token, reader)
+                known = self.token(token, reader, restored)
                 if len(token) < LONG_TOKEN:
-                    self.tokens[token] = known
+                    self.tokens[token, restored] = known
             words += known[0] * n
             for word, weight in known[1]:
                 found[word] = (weight, found[word][1] + n if word in found else n)

@@ -223,6 +223,21 @@ def test_substring_cases(spark, odd_docs, no_docs):
     assert found[0]["matched"] == 79
 
 
+def test_scoring_reads_all_disguises_that_fitting_reads():
+    costs = {}
+    for word in ("idiot", "dumb", "scum"):
+        line = "^^" + word + "^"
+        costs |= {line[i:i + 3]: 2.0 for i in range(len(line) - 2)}
+    reader = toxicity.Reader(costs)
+    scale = toxicity.Scale({"=" + w: (50, 500, 0) for w in ("idiot", "dumb", "scum")}, (1000, 1000))
+    for text in ("an i. d. i. o. t here", "an i- d- i- o- t here", "an i* d* i* o* t here", "so \"d u m b\" it is",
+                 "all (s c u m) here", "an i/d/i/o/t here", "an I, D, I, O, T here", "an 1d10t here", "an i d i o t here"):
+        restored = reader.restore(text)
+        assert any(w in toxicity.WORD.findall(restored) for w in ("idiot", "dumb", "scum")), text
+        found = scale.telling(text, reader)
+        assert found == scale.telling(restored, reader) and len(found[0]) == 1, text
+
+
 def passages_of(spark, *texts):
     docs = spark.createDataFrame([(i + 1, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     rows = substring_dedup.repeated_passages(docs).collect()
