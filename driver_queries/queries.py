@@ -558,21 +558,18 @@ def train_test_split(spark, sf_dir):
     )
 
 
-# --- models (small settings; the published ones are the library defaults) ----
+# --- models (at the published settings, which are the library defaults) ------
 
-FOREST = {"trees": 8, "depth": 6, "key": "occ_id"}
-
-
-def small_forest(spark, rows):
+def published_forest(spark, rows):
     """Train, save and load again: the loaded model is the one that scores."""
     path = new_path(spark, "bundle")
-    load_or_train(spark, path, rows, ROLES, **FOREST)
-    return load_or_train(spark, path, rows, ROLES, **FOREST)
+    load_or_train(spark, path, rows, ROLES, key="occ_id")
+    return load_or_train(spark, path, rows, ROLES, key="occ_id")
 
 
 def forest_scores(spark, sf_dir):
     rows = settle(history(spark, sf_dir), "history")
-    found = models.score_history(rows, small_forest(spark, rows), ROLES)
+    found = models.score_history(rows, published_forest(spark, rows), ROLES)
     return found.select("occ_id", "event_date", "region", "locality", "risk", "predicted")
 
 
@@ -592,7 +589,7 @@ def planted_forest(spark, sf_dir):
 
 def forecast_scores(spark, sf_dir):
     rows = settle(history(spark, sf_dir), "history")
-    bundle = small_forest(spark, rows)
+    bundle = published_forest(spark, rows)
     result = forecast(rows, bundle, SCENARIO_YEAR, rows.count(), SEED, ROLES)
     return risk.forecast_output(result, ROLES)
 
