@@ -97,9 +97,117 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
+SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+counted AS (SELECT head, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY head, run),
+crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+bytes AS (
+  SELECT head, run, times, hex(encode(head || run)) AS h FROM counted),
+sums AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(range(1, length(h), 2), lambda p:
+        CAST(instr('0123456789ABCDEF', substr(h, CAST(p AS INTEGER), 1)) * 16
+          + instr('0123456789ABCDEF', substr(h, CAST(p AS INTEGER) + 1, 1)) - 17 AS BIGINT))),
+    lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS INTEGER) + 1]))) AS crc
+  FROM bytes, crc_table),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN crc % 97 = 0
+      THEN left(run, CAST(crc % length(run) AS INTEGER)) || substr(run, CAST(crc % length(run) AS INTEGER) + 2)
+      ELSE run END AS word FROM sums)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+gaps AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(length(word))) AS INTEGER) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b USING (i, rest)
+  WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION
+  SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.rest = w.word
+  UNION
+  SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.rest = w.word),
+ranked AS (
+  SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+rated AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+    CASE WHEN r.other_n >= 2 * w.n THEN r.other END AS form,
+    CASE WHEN r.other_n >= 2 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
+ways AS (
+  SELECT word, form AS spot, 1 AS steps FROM rated WHERE form IS NOT NULL
+  UNION ALL
+  SELECT ways.word, rated.form, steps + 1 FROM ways JOIN rated ON rated.word = ways.spot WHERE rated.form IS NOT NULL),
+ends AS (SELECT word, arg_max(spot, steps) AS root FROM ways GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM rated LEFT JOIN ends USING (word)
+"""
+
+FILL_MIDDLE = r"""
+WITH draws AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+cut AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+    CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4 FROM draws),
+ranks AS (
+  SELECT doc_id, t, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+    greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b, u,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+    array_to_string(u[b + 1:n], '') AS suffix FROM ranks)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM parts
+"""
+
+SUFFIXES = r"""
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k
+  FROM (SELECT doc_id, h, CAST(unnest(range(length(h) // 2 - 99)) AS INTEGER) AS i FROM docs WHERE length(h) >= 200)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM windows)
+  WHERE place > 1),
+runs AS (
+  SELECT doc_id, min(i) AS low, max(i) + 100 AS high FROM (
+    SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+      SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new
+      FROM later))
+  GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, low, high, lead(low) OVER (PARTITION BY doc_id ORDER BY low) AS next_low,
+    row_number() OVER (PARTITION BY doc_id ORDER BY low) AS place FROM runs),
+cut AS (
+  SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans,
+    string_agg(CASE WHEN place = 1 THEN substr(h, 1, 2 * low) ELSE '' END
+      || CASE WHEN next_low IS NULL THEN substr(h, 2 * high + 1) ELSE substr(h, 2 * high + 1, 2 * (next_low - high)) END,
+      '' ORDER BY low) AS kept
+  FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op5_quality_rules": QUALITY_RULES,
     "op6_embedding_near_dedup": EMBEDDINGS,
     "op7_line_dedup": LINE_DEDUP,
     "op8_warc_zip": WARC,
+    "op11_spelling_variants": SPELLING,
+    "op12_fill_in_middle": FILL_MIDDLE,
+    "op13_suffix_dedup": SUFFIXES,
 }

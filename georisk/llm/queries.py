@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from georisk.llm.embedding_pairs import cosine_links
+from georisk.llm.fill_middle import fill_in_middle, restored
 from georisk.llm.line_crf import score_quality
 from georisk.llm.line_dedup import dedup_lines
 from georisk.llm.mixing import mix_plan
 from georisk.llm.ngram_join import jaccard_links
 from georisk.llm.packing import pack_documents
 from georisk.llm.quality_rules import rate_texts
+from georisk.llm.spelling import spelling_variants
 from georisk.llm.substring_dedup import repeated_passages
+from georisk.llm.suffix_dedup import drop_repeats
 from georisk.llm.toxicity import score_toxicity
 from georisk.llm.warc_zip import archive_round_trip
 
@@ -74,6 +77,25 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_links(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent words a single edit away."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in fill-in-the-middle order, and the texts rebuilt from it, as digests."""
+    moved = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without strings of 100 bytes that start earlier, as a digest of what stays."""
+    found = drop_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -85,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_zip": op8_warc_zip,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
