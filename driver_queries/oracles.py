@@ -332,7 +332,46 @@ PLANTED_GROUPS = OCC + """, plain AS (
 )"""
 
 
+LADDER = OCC + """, plain AS (
+  SELECT occ_id % 2 AS b0, occ_id // 2 % 2 AS b1, occ_id // 4 % 2 AS b2 FROM occ
+), spots AS (
+  SELECT b0, b1, b2, CAST(b0 + 40 * b1 + 1600 * b2 AS DOUBLE) AS a FROM plain
+), points AS (
+  SELECT b0, b1, b2, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS x,
+    (3 * a - avg(3 * a) OVER ()) / stddev_pop(3 * a) OVER () AS y FROM spots
+)"""
+
+
+def ladder_step(k: int, group: str) -> str:
+    return f"""SELECT CAST({k} AS INTEGER) AS k, abs(round(sum(copies * off), 4)) AS inertia,
+  round(sum(copies * (other - own) / greatest(own, other)) / sum(copies), 6) AS silhouette
+FROM (
+  SELECT g, x, y, count(*) FILTER (g = c) AS copies, max(CASE WHEN g = c THEN off END) AS off,
+    max(CASE WHEN g = c THEN (off + spread) * n / (n - 1) END) AS own,
+    min(CASE WHEN g <> c THEN off + spread END) AS other
+  FROM (
+    SELECT g, x, y, c, n, spread, power(x - cx, 2) + power(y - cy, 2) AS off
+    FROM (SELECT {group} AS g, x, y FROM points) CROSS JOIN (
+      SELECT {group} AS c, avg(x) AS cx, avg(y) AS cy, var_pop(x) + var_pop(y) AS spread, count(*) AS n
+      FROM points GROUP BY 1))
+  GROUP BY g, x, y)"""
+
+
+STEP_SCORE = """CAST(20 + CASE WHEN dry_days >= 30 THEN 40 ELSE 0 END
+  + CASE WHEN month = 7 THEN 15 ELSE 0 END AS DOUBLE)"""
+PLANTED_FORECAST = FORECAST.replace("CAST((row_id * 37) % 97 AS DOUBLE) + dry_days AS cluster", STEP_SCORE + " AS cluster")
+
 ORACLES: dict[str, str] = {
+    "quarantined_numbers": f"""WITH {OCC}
+SELECT occ_id, array_to_string(list_filter([CASE WHEN occ_id % 47 = 0 THEN 'precip' END,
+  CASE WHEN occ_id % 37 = 0 THEN 'lat' END, CASE WHEN occ_id % 43 = 0 THEN 'lon' END],
+  lambda c: c IS NOT NULL), ',') AS columns FROM occ""",
+    "merged_in_steps": TYPED,
+    "planted_scenario": f"WITH {SCENARIO} SELECT *, {STEP_SCORE} AS cluster FROM measured",
+    "planted_forecast": f"""WITH {PLANTED_FORECAST}
+SELECT strftime(event_date, '%Y-%m-%d') AS event_date, {FORECAST_ROWS}""",
+    "planted_ladder": f"""WITH {LADDER} {ladder_step(2, 'b2')}
+UNION ALL {ladder_step(4, 'b2 * 2 + b1')} UNION ALL {ladder_step(8, 'b2 * 4 + b1 * 2 + b0')}""",
     "spoiled_file_numbers": f"""WITH {OCC}
 SELECT CASE WHEN year(event_ts) % 2 = 0 THEN 'even' ELSE 'odd' END AS part, count(*) AS rows,
   count(*) FILTER (occ_id % 37 = 0) AS lat, count(*) FILTER (occ_id % 43 = 0) AS lon,

@@ -25,11 +25,12 @@ from georisk.operators.ordering import exact_median
 from georisk.plans.forecast import forecast, load_or_train
 from georisk.sinks import write_csv, write_feed, write_forecast, write_metrics
 from georisk.sources.forecast import load_forecast_text, scan_forecast
+from georisk.sources.merged import load_merged, merge_files, read_merged
 from georisk.sources.occurrences import (
     layouts,
-    load_merged,
     load_yearly,
     scan_layout,
+    split_spoiled,
     unparsed_counts,
 )
 from georisk.workspace import new_path, settle
@@ -152,8 +153,8 @@ def write_yearly_files(spark, sf_dir):
     return f"{folder}/*/*.csv"
 
 
-def spoiled_file_numbers(spark, sf_dir):
-    """Rows and values that are no numbers, per yearly file with spoiled ones."""
+def write_spoiled_files(spark, sf_dir):
+    """Yearly files in which some texts are no numbers."""
     folder, key = new_path(spark, "spoiled"), F.col("occ_id")
     spoiled = occurrences(spark, sf_dir).select(
         "occ_id", "region",
@@ -164,12 +165,25 @@ def spoiled_file_numbers(spark, sf_dir):
         F.when(F.year("event_ts") % 2 == 0, "even").otherwise("odd").alias("part"),
     )
     spoiled.write.partitionBy("part").options(header="true", escape='"').csv(folder)
-    counts = unparsed_counts(spark, f"{folder}/*/*.csv", ROLES)
+    return f"{folder}/*/*.csv"
+
+
+def spoiled_file_numbers(spark, sf_dir):
+    """Rows and values that are no numbers, per yearly file with spoiled ones."""
+    counts = unparsed_counts(spark, write_spoiled_files(spark, sf_dir), ROLES)
     part = F.regexp_extract("source_file", "part=([a-z]+)/", 1).alias("part")
     sums = [F.sum(name).alias(name) for name in ("rows", "lat", "lon", "precip")]
     return counts.groupBy(part).agg(*sums)
 
 
+def quarantined_numbers(spark, sf_dir):
+    """All rows of spoiled files: those that are kept, and those set apart with their columns and text."""
+    good, spoiled = split_spoiled(spark, write_spoiled_files(spark, sf_dir), new_path(spark, "parsed"), ROLES)
+    first = F.regexp_extract("row_text", "^([0-9]+),", 1)
+    apart = spoiled.select(first.cast("long").alias("occ_id"), F.array_join("spoiled", ",").alias("columns"))
+    return good.select(F.col("occ_id").cast("long"), F.lit("").alias("columns")).unionByName(apart)
+
+
 def missing_columns(spark, sf_dir):
     """Rows per set of columns that yearly files lack."""
     folder, even = new_path(spark, "lacking"), F.year("event_ts") % 2 == 0
@@ -204,6 +218,14 @@ def merged_table_scan(spark, sf_dir):
     return from_files(load_merged(spark, files, merged, ROLES))
 
 
+def merged_in_steps(spark, sf_dir):
+    """Two years merged first, the other files by a second merge, which parses only those."""
+    files, merged = write_yearly_files(spark, sf_dir), new_path(spark, "merged")
+    merge_files(spark, files.replace("/*/", "/even/"), merged, ROLES)
+    merge_files(spark, files, merged, ROLES)
+    return from_files(cleaning.prepare_occurrences(read_merged(spark, merged), ROLES))
+
+
 def dirty_forecast_scan(spark, sf_dir):
     """Write a spoiled forecast file, read it as text and repair it."""
     path, key = new_path(spark, "dirty"), F.col("occ_id").cast("long")
@@ -573,20 +595,38 @@ def forest_scores(spark, sf_dir):
     return found.select("occ_id", "event_date", "region", "locality", "risk", "predicted")
 
 
+def planted(spark, sf_dir):
+    """History whose risk is a step function of dry days and month."""
+    step = F.lit(20.0) + F.when(F.col("dry_days") >= 30, 40.0).otherwise(0.0)
+    step += F.when(F.month("event_date") == 7, 15.0).otherwise(0.0)
+    return settle(history(spark, sf_dir).withColumn("risk", step), "planted")
+
+
 def planted_forest(spark, sf_dir):
-    """The published forest on a risk that is a step function of dry days and month.
+    """The published forest on planted risk.
 
     Every leaf is pure then, so the saved and loaded model gives the risk back.
     """
-    step = F.lit(20.0) + F.when(F.col("dry_days") >= 30, 40.0).otherwise(0.0)
-    step += F.when(F.month("event_date") == 7, 15.0).otherwise(0.0)
-    rows = settle(history(spark, sf_dir).withColumn("risk", step), "planted")
+    rows = planted(spark, sf_dir)
     path = new_path(spark, "bundle")
     load_or_train(spark, path, rows, ROLES, key="occ_id")
     found = models.score_history(rows, load_or_train(spark, path, rows, ROLES), ROLES)
     return found.select("occ_id", "event_date", "region", "locality", "risk", "predicted")
 
 
+def planted_scenario(spark, sf_dir):
+    """Scenario rows scored by the forest of planted risk: the step function of their own values."""
+    rows = planted(spark, sf_dir)
+    return models.score_scenario(expanded(rows), published_forest(spark, rows), ROLES)
+
+
+def planted_forecast(spark, sf_dir):
+    """The whole forecast with the forest of planted risk."""
+    rows = planted(spark, sf_dir)
+    result = forecast(rows, published_forest(spark, rows), SCENARIO_YEAR, rows.count(), SEED, ROLES)
+    return risk.forecast_output(result, ROLES)
+
+
 def forecast_scores(spark, sf_dir):
     rows = settle(history(spark, sf_dir), "history")
     bundle = published_forest(spark, rows)
@@ -628,6 +668,16 @@ def planted_sweep(spark, sf_dir):
     return found.select("k", F.round("inertia", 4).alias("inertia"), r6("silhouette").alias("silhouette"))
 
 
+def planted_ladder(spark, sf_dir):
+    """Two groups far apart, of two groups each, of two places each: k of 2, 4 and 8 in one sweep."""
+    key = F.col("occ_id")
+    bits = [F.shiftright(key, i).bitwiseAND(F.lit(1)) for i in range(3)]
+    place = bits[0] + bits[1] * 40 + bits[2] * 1600
+    rows = occurrences(spark, sf_dir).select(place.cast("double").alias("a"), (place * 3 + 5).cast("double").alias("b"))
+    found = models.kmeans_sweep(rows, ["a", "b"], [2, 4, 8])
+    return found.select("k", F.round("inertia", 4).alias("inertia"), r6("silhouette").alias("silhouette"))
+
+
 def best_k_of_table(spark, sf_dir):
     """The best k of a made-up sweep with ties."""
     rows = history(spark, sf_dir).groupBy((F.col("occ_id") % 18 + 2).cast("int").alias("k"))
@@ -642,9 +692,9 @@ QUERIES: dict[str, Query] = {
         drop_sentinels, drop_nulls, drop_missing_coords, clean_counts, any_invalid_date,
         rescale_risk, union_years, drop_repeated_header, coerce_text, distinct_days, year_filter,
         csv_yearly_scan, merged_table_scan, dirty_forecast_scan,
-        spoiled_file_numbers, missing_columns, guarded_occurrences, features_with_sources,
+        spoiled_file_numbers, quarantined_numbers, merged_in_steps, missing_columns, guarded_occurrences, features_with_sources,
         metric_files, holdout_quality, default_quota, forecast_month_files,
-        planted_forest, planted_sweep, best_k_of_table,
+        planted_forest, planted_scenario, planted_forecast, planted_sweep, planted_ladder, best_k_of_table,
         month_one_hot, calendar_parts, month_lengths, label_encode, label_decode, standardize,
         numeric_only, feature_table,
         metrics_by_year, margin_accuracy_by_year, metric_chart_feed, outcome_class, error_map,

@@ -36,7 +36,8 @@ from georisk.plans.yearly_maps import (
 )
 from georisk.roles import DEFAULT_ROLES
 from georisk.sources.forecast import load_forecast_text, scan_forecast_text
-from georisk.sources.occurrences import load_merged, unparsed_counts
+from georisk.sources.merged import load_merged
+from georisk.sources.occurrences import unparsed_counts
 from georisk.workspace import build_session, drop_settled, settle
 
 

@@ -1,4 +1,4 @@
-"""Forest and cluster models, fitted and applied by Spark ML."""
+"""Forest and cluster models, and how tables are scored with them."""
 
 from __future__ import annotations
 
@@ -7,23 +7,24 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from georisk.functions.scalars import clip, round_half_even
 from georisk.operators.calendar import feature_names, feature_table, project_features
 from georisk.operators.cleaning import require_rows
 from georisk.operators.encoding import Labels, fit_labels
+from georisk.operators.forest import Forest, grow_forest, predict
 from georisk.operators.sampling import held_out
 from georisk.operators.scaling import standardize
+from georisk.operators.sweep import sweep
 from georisk.roles import DEFAULT_ROLES, Roles
 from georisk.workspace import lay_out, settle
 
 # Settings of the published model and of the cluster sweep.
 TREES = 200
 DEPTH = 20
+LEAST_SPLIT = 5
 SEED = 4224
 TRAIN_SHARE = 0.8
 SWEEP_SEED = 657
@@ -43,11 +44,12 @@ _ROW_KEY = "__row_key"
 class ModelBundle:
     """Everything needed to score a table.
 
-    ``stages`` turn features into ``prediction``; ``labels`` hold the category
-    codes; ``cluster_risk`` optionally maps a predicted cluster to a risk share.
+    ``stages``, a forest or a pipeline, turn features into ``prediction``;
+    ``labels`` hold the category codes; ``cluster_risk`` optionally maps a
+    predicted cluster to a risk share.
     """
 
-    stages: PipelineModel
+    stages: PipelineModel | Forest
     features: list[str]
     labels: Labels
     cluster_risk: DataFrame | None = None
@@ -97,11 +99,13 @@ def train_forest(
     key: str | None = None,
     max_bins: int = 64,
     parts: int | None = None,
+    least_split: int = LEAST_SPLIT,
 ) -> ModelBundle:
     """Fit the risk forest on the training part of a history.
 
-    The feature table is written once: the scaler and every level of the trees
-    read it again. ``mark_held_out`` tells which rows are left for testing.
+    The feature table is written once and laid out by its values, so the draws
+    of the trees depend on the rows only. ``mark_held_out`` tells which rows are
+    left for testing.
     """
     require_rows(history, "history")
     labels = fit_category_labels(history, roles)
@@ -111,14 +115,8 @@ def train_forest(
     table = feature_table(train, labels, roles)
     train_rows = settle(project_features(table, names, [roles.risk]), "train")
     train_rows = lay_out(train_rows, [*names, roles.risk], parts_for(train_rows, parts))
-    forest = RandomForestRegressor(
-        featuresCol="__scaled", labelCol=roles.risk, predictionCol="prediction",
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=1,
-        maxBins=max_bins, seed=seed, maxMemoryInMB=1024, cacheNodeIds=depth > 10,
-        checkpointInterval=10,
-    )
-    model = Pipeline(stages=[*scaled_vector(names), forest]).fit(train_rows)
-    return ModelBundle(stages=model, features=names, labels=labels)
+    forest = grow_forest(train_rows, names, roles.risk, trees, depth, seed, max_bins, least_split)
+    return ModelBundle(stages=forest, features=names, labels=labels)
 
 
 def train_clusters(
@@ -153,6 +151,8 @@ def apply_model(
     """Features plus ``prediction``; the columns in ``keep`` stay on the row."""
     table = feature_table(df, bundle.labels, roles, tuple(keep))
     project_features(table, bundle.features)
+    if isinstance(bundle.stages, Forest):
+        return predict(table, bundle.stages, bundle.features)
     return bundle.stages.transform(table).drop("__raw", "__scaled")
 
 
@@ -194,22 +194,14 @@ def kmeans_sweep(
 ) -> DataFrame:
     """Inertia and silhouette per number of clusters.
 
-    The rows are written once and kept scaled; every fit is a distributed job over them.
-    The silhouette uses squared distances, which needs one pass instead of all
-    pairs of rows.
+    The rows are written once; every scan serves all numbers of clusters. The
+    silhouette uses squared distances, which needs one pass instead of all pairs
+    of rows.
     """
     plain = settle(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "unscaled")
     # Laid out by the plain values: the last digits of scaled ones depend on the order of sums.
     scaled = standardize(lay_out(plain, columns, parts_for(plain, parts)), columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(scaled)
-    rows = vectors.select("features").persist()
-    evaluator = ClusteringEvaluator(metricName="silhouette")
-    found = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, maxIter=iterations).fit(rows)
-        silhouette = evaluator.evaluate(model.transform(rows))
-        found.append((int(k), float(model.summary.trainingCost), float(silhouette)))
-    rows.unpersist()
+    found = sweep(scaled, columns, ks, seed, iterations)
     return df.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 

@@ -17,6 +17,7 @@ from georisk.plans.forecast import forecast, load_or_train
 from georisk.plans.yearly_maps import build_yearly_maps, read_year
 from georisk.roles import Roles
 from georisk.sinks import write_feed, write_forecast, write_metrics
+from georisk.sources import merged as merged_table
 from georisk.sources import occurrences as O
 from georisk.sources.bundles import bundle_exists, load_bundle
 from georisk.sources.forecast import load_forecast_text, scan_forecast, scan_forecast_text
@@ -139,10 +140,10 @@ def test_load_yearly_is_clean_and_typed(spark, history):
 def test_merged_table_is_built_once(spark, files, history, tmp_path):
     merged = f"{tmp_path}/merged"
     assert not O.table_exists(spark, merged)
-    first = O.load_merged(spark, files, merged)
+    first = merged_table.load_merged(spark, files, merged)
     assert O.table_exists(spark, merged)
     assert first.select(history.columns).exceptAll(history).isEmpty()
-    again = O.load_merged(spark, f"{tmp_path}/gone/*.csv", merged)
+    again = merged_table.load_merged(spark, f"{tmp_path}/gone/*.csv", merged)
     assert again.count() == history.count()
 
 
