@@ -31,21 +31,24 @@ segment is a segment of its own.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from georisk.llm.arrays import mix, utf8
+from georisk.llm.arrays import mix
 from georisk.workspace import new_path
 
 NO_ID = -(1 << 63)
-# Bytes of a segment and of a part's contexts, seed hashes of a bucket, occurrences of a seed
-# beyond which its windows are dealt one by one, suffixes sorted at once, windows hashed at once.
-SEGMENT, PART, BUCKET, HOT, BLOCK, CHUNK = 1 << 22, 1 << 22, 1 << 19, 4096, 1 << 19, 1 << 19
+# Bytes of a segment and of a part's contexts, bytes of contexts that a task deals at once, seed
+# hashes of a bucket, occurrences of a seed beyond which its windows are dealt one by one,
+# suffixes sorted at once, windows hashed at once.
+SEGMENT, PART, DEALT, BUCKET, HOT, BLOCK, CHUNK = 1 << 21, 1 << 22, 1 << 24, 1 << 19, 4096, 1 << 19, 1 << 15
 SEED = 32
 PERIOD, COVER = 13, (0, 1, 3, 9)
 HEAD, REACH = 16, 81  # bytes compared at the start, and bytes that a sample rank stands for
@@ -56,15 +59,28 @@ SEGMENT_SCHEMA = (
     "segment long, ids array<long>, ties array<long>, copies array<long>, sizes array<long>, body binary")
 SEED_SCHEMA = "bucket long, segment long, keys binary, counts binary"
 HIT_SCHEMA = "segment long, bucket long, hits binary, hot binary, n long"
-CONTEXT_SCHEMA = (
-    "part long, seed long, id long, tie long, pos long, segment long, at long, own long, lead long, context binary")
+CONTEXT_SCHEMA = "part long, facts binary, texts binary"
+# What travels with a context: its seed, its document (id and tie), the seed's place there, the
+# segment, the first window's place there, the windows, the seed's distance, and the length.
+FACTS = ("seed", "id", "tie", "pos", "segment", "at", "own", "lead", "size")
 MARK_SCHEMA = "segment long, starts binary, sizes binary"
 
 
+_BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))
+
+
 def numbers(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(raw, kind)
 
 
+def packed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor().compress(raw)
+
+
+def unpacked(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 # --- segments ------------------------------------------------------------------
 
 def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -75,7 +91,7 @@ def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         ids, ties, texts = zip(*sorted(alike, key=lambda row: (NO_ID if row[0] is None else row[0], row[1], row[2])))
         copies = [alike[row] for row in zip(ids, ties, texts)]
         kinds = (pa.int64(), *[pa.list_(pa.int64())] * 4, pa.binary())
-        values = (number, list(ids), list(ties), copies, [len(x) for x in texts], b"".join(texts))
+        values = (number, list(ids), list(ties), copies, [len(x) for x in texts], packed(b"".join(texts)))
         return pa.RecordBatch.from_arrays(
             [pa.array([value], kind) for value, kind in zip(values, kinds)],
             names=["segment", "ids", "ties", "copies", "sizes", "body"])
@@ -95,10 +111,10 @@ def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     path = new_path(docs.sparkSession, "segments")
-    packed = docs.select(F.col(id_col).cast("long"), F.xxhash64(text), text.cast("binary")).mapInArrow(
+    table = docs.select(F.col(id_col).cast("long"), F.xxhash64(text), text.cast("binary")).mapInArrow(
         run, SEGMENT_SCHEMA)
-    packed.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(packed.schema).parquet(path)
+    table.write.parquet(path)
+    return docs.sparkSession.read.schema(table.schema).parquet(path)
 
 
 class Segment:
@@ -106,24 +122,30 @@ class Segment:
 
     def __init__(self, row: dict, length: int):
         self.row, self.length = row, length
-        self.body = np.frombuffer(row["body"], np.uint8)
-        self.sizes = np.array(row["sizes"], np.int64)
-        self.bounds = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.text = unpacked(row["body"])
+        self.body = np.frombuffer(self.text, np.uint8)
+        self.bounds = np.concatenate(([0], np.cumsum(np.array(row["sizes"], np.int64))))
         found = [self._seeds(low, min(low + CHUNK, len(self.body))) for low in range(0, len(self.body), CHUNK)]
         first, own, lead, seed = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 4
         self.first, self.own, self.lead, self.seed = first, own, lead, seed.astype(np.uint64)
 
+    def _whole(self, low: int, high: int) -> np.ndarray:
+        """Places in [low, high), counted from low, whose window ends in the same document."""
+        ends = self.bounds[np.searchsorted(self.bounds, low, "right"):]
+        ends = ends[:np.searchsorted(ends, high + self.length)] - low
+        broken = np.zeros(high - low + 1, np.int64)
+        np.add.at(broken, np.clip(ends - self.length + 1, 0, high - low), 1)
+        np.add.at(broken, np.clip(ends, 0, high - low), -1)
+        return np.flatnonzero(np.cumsum(broken[:-1]) == 0)
+
     def _seeds(self, low: int, high: int) -> tuple[np.ndarray, ...]:
         """Windows that start in [low, high), as runs of windows with one seed."""
         buf = self.body[low:high + self.length - 1]
-        count = len(buf) - self.length + 1
-        starts = np.arange(low, high)
-        doc = np.searchsorted(self.bounds, starts, "right")
-        whole = np.flatnonzero(starts + self.length <= self.bounds[np.minimum(doc, len(self.sizes))])
-        if count <= 0 or not len(whole):
+        whole = self._whole(low, min(high, low + len(buf) - self.length + 1)) if len(buf) >= self.length else buf[:0]
+        if not len(whole):
             return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
         # Hash of the SEED bytes from each place on, by doubling.
-        run, size = mix(buf.astype(np.uint64) + np.uint64(1)), 1
+        run, size = _BYTES[buf], 1
         while size < SEED:
             run = run[:-size] * np.uint64(pow(_STEP, size, 1 << 64)) + run[size:]
             size *= 2
@@ -140,7 +162,8 @@ class Segment:
         new[1:] = (place[1:] != place[:-1]) | (whole[1:] != whole[:-1] + 1)
         at = np.flatnonzero(new)
         own = np.diff(np.append(at, len(whole)))
-        return whole[at] + low, own, place[at] - whole[at], run[place[at]]
+        # Least hashes are all small: mixed anew, they spread over the buckets.
+        return whole[at] + low, own, place[at] - whole[at], mix(run[place[at]] + np.uint64(1))
 
     def buckets(self, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct seeds in order, the bucket of each, their counts, and the seed of each run."""
@@ -156,7 +179,7 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 # --- seeds that occur more than once -------------------------------------------
 
-def seed_rows(packed: DataFrame, many: int, length: int) -> DataFrame:
+def seed_rows(table: DataFrame, many: int, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             seeds, bucket, counts, _ = Segment(row, length).buckets(many)
@@ -171,7 +194,7 @@ def seed_rows(packed: DataFrame, many: int, length: int) -> DataFrame:
                 pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary())],
                 names=["bucket", "segment", "keys", "counts"])
 
-    return packed.mapInArrow(run, SEED_SCHEMA)
+    return table.mapInArrow(run, SEED_SCHEMA)
 
 
 def repeated_seeds(table: pa.Table) -> pa.Table:
@@ -196,27 +219,45 @@ def repeated_seeds(table: pa.Table) -> pa.Table:
 
 # --- contexts --------------------------------------------------------------------
 
-def context_rows(asked: DataFrame, many: int, parts: int, length: int) -> DataFrame:
-    """The contexts of repeated seeds, each once a segment; later equal ones as spans without text."""
-    names = [part.split()[0] for part in CONTEXT_SCHEMA.split(", ")]
+class Dealer:
+    """Contexts of a task, handed on as one packed row per part."""
 
-    def emit(segment: Segment, at: list, own: list, lead: list, seed: list, key: list, texts: list) -> pa.RecordBatch:
-        start = np.array(at, np.int64)
+    def __init__(self, parts: int):
+        self.parts, self.facts, self.keys, self.texts, self.size = parts, [], [], [], 0
+
+    def add(self, segment: Segment, at: list, own: list, lead: list, seed: list, key: list, texts: list) -> None:
+        start, lead = np.array(at, np.int64), np.array(lead, np.int64)
         doc = np.searchsorted(segment.bounds, start, "right") - 1
         ids = np.array([NO_ID if x is None else x for x in segment.row["ids"]], np.int64)[doc]
         ties = np.array(segment.row["ties"], np.int64)[doc]
-        lead = np.array(lead, np.int64)
-        part = (mix(np.array(key, np.uint64)) % np.uint64(parts)).astype(np.int64)
-        columns = (
-            part, np.array(seed, np.uint64).view(np.int64), ids, ties, start + lead - segment.bounds[doc],
-            np.full(len(at), segment.row["segment"], np.int64), start, np.array(own, np.int64), lead)
-        return pa.RecordBatch.from_arrays(
-            [*[pa.array(x) for x in columns], pa.array(texts, pa.binary())], names=names)
+        self.facts.append(np.stack([
+            np.array(seed, np.uint64).view(np.int64), ids, ties, start + lead - segment.bounds[doc],
+            np.full(len(at), segment.row["segment"], np.int64), start, np.array(own, np.int64), lead,
+            np.fromiter(map(len, texts), np.int64)]))
+        self.keys.append(mix(np.array(key, np.uint64)) % np.uint64(self.parts))
+        self.texts += texts
+        self.size += int(self.facts[-1][-1].sum())
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if not self.texts:
+            return
+        facts, part = np.concatenate(self.facts, axis=1), np.concatenate(self.keys).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part, facts, texts = part[order], facts[:, order], [self.texts[i] for i in order.tolist()]
+        starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+        pairs = list(zip(starts, [*starts[1:], len(part)]))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(part[starts]), pa.array([packed(facts[:, a:b].tobytes()) for a, b in pairs], pa.binary()),
+            pa.array([packed(b"".join(texts[a:b])) for a, b in pairs], pa.binary())], names=["part", "facts", "texts"])
+        self.__init__(self.parts)
+
+
+def context_rows(asked: DataFrame, many: int, parts: int, length: int) -> DataFrame:
+    """The contexts of repeated seeds, each once a segment; later equal ones as spans without text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = Dealer(parts)
         for row in rows_of(batches):
-            if not row["found"]:
-                continue
             segment = Segment(row, length)
             seeds, bucket, _, which = segment.buckets(many)
             repeated, hot = np.zeros(len(seeds), bool), np.zeros(len(seeds), bool)
@@ -224,7 +265,7 @@ def context_rows(asked: DataFrame, many: int, parts: int, length: int) -> DataFr
                 places = np.searchsorted(bucket, np.uint64(hit["bucket"])) + numbers(hit["hits"], "<u4").astype(np.int64)
                 repeated[places] = True
                 hot[places] = numbers(hit["hot"], bool)
-            body, seen = row["body"], set()
+            body, seen = segment.text, set()
             out: tuple[list, ...] = ([], [], [], [], [], [])
             again: list[tuple[int, int]] = []
             chosen = np.flatnonzero(repeated[which])
@@ -236,7 +277,7 @@ def context_rows(asked: DataFrame, many: int, parts: int, length: int) -> DataFr
                     text = body[at:at + size + length - 1]
                     if text not in seen:
                         seen.add(text)
-                        dealt = (hash_bytes(text) if each else seed)
+                        dealt = zlib.crc32(text) if each else seed
                         for values, value in zip(out, (at, size, lead - (at - first), seed, dealt, text)):
                             values.append(value)
                     elif again and again[-1][0] + again[-1][1] == at:
@@ -247,16 +288,14 @@ def context_rows(asked: DataFrame, many: int, parts: int, length: int) -> DataFr
                 for values, value in zip(out, (at, size, 0, 0, at, b"")):
                     values.append(value)
             if out[0]:
-                yield emit(segment, *out)
+                dealer.add(segment, *out)
+            if dealer.size > DEALT:
+                yield from dealer.rows()
+        yield from dealer.rows()
 
     return asked.mapInArrow(run, CONTEXT_SCHEMA)
 
 
-def hash_bytes(text: bytes) -> int:
-    values = np.frombuffer(text[:len(text) // 4 * 4], "<u4").astype(np.uint64)
-    return int(mix(np.bitwise_xor.reduce(mix(values + np.arange(len(values), dtype=np.uint64) * np.uint64(_STEP)), keepdims=True))[0])
-
-
 # --- blocks of suffixes ------------------------------------------------------------
 
 def dense(*keys: np.ndarray) -> np.ndarray:
@@ -300,63 +339,95 @@ class CoverRanks:
         return self.ranks[at // PERIOD * len(COVER) + self.slots[at % PERIOD]]
 
 
+def classes(*keys: np.ndarray) -> np.ndarray:
+    """Numbers of rows of keys, equal for equal rows; grouped by a hash and compared in full."""
+    spread = keys[0].astype(np.uint64)
+    for key in keys[1:]:
+        spread = mix(spread) + key.astype(np.uint64)
+    order = np.argsort(spread, kind="stable")
+    differs = np.zeros(len(order), bool)
+    for key in keys:
+        values = key[order]
+        differs[1:] |= values[1:] != values[:-1]
+    by_hash = spread[order]
+    if (differs[1:] & (by_hash[1:] == by_hash[:-1])).any():
+        return dense(*keys)
+    out = np.empty(len(order), np.uint64)
+    out[order] = np.cumsum(differs, dtype=np.uint64)
+    return out
+
+
 def later_ones(cover: CoverRanks, at: np.ndarray, bucket: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Which of the suffixes of some buckets equal one with a lower ``order``."""
     ends = [cover.words[at + k] for k in (*range(0, HEAD, 8), *range(REACH - 5, length - 7, 8))]
     if (length - REACH + 5) % 8:
         ends.append(cover.words[at + length - 8])
-    tie = dense(bucket, *ends)
-    alike = np.bincount(tie.astype(np.int64))[tie.astype(np.int64)] > 1
-    left = np.flatnonzero(alike)
+    tie = classes(bucket, *ends)
+    left = np.flatnonzero(np.bincount(tie.astype(np.int64))[tie.astype(np.int64)] > 1)
     out = np.zeros(len(at), bool)
     for shift in range(PERIOD):
         mine = left[cover.sampled(at[left] + shift)]
         if not len(mine):
             continue
         key = (tie[mine] << np.uint64(32)) | cover.of(at[mine] + shift)
-        by_key = np.lexsort((order[mine], key))
+        by_key = np.argsort(key)
         values, ranks = key[by_key], order[mine][by_key]
         new = np.ones(len(by_key), bool)
         new[1:] = values[1:] != values[:-1]
-        least = ranks[np.flatnonzero(new)][np.cumsum(new) - 1]
+        least = np.minimum.reduceat(ranks, np.flatnonzero(new))[np.cumsum(new) - 1]
         out[mine[by_key[ranks > least]]] = True
     return out
 
 
+def first_contexts(texts: list[bytes], lead: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which contexts have no equal one of a lower rank; of equal ranks all stay or all go."""
+    seen: dict[tuple[int, bytes], int] = {}
+    out, leads, ranks = np.zeros(len(texts), bool), lead.tolist(), rank.tolist()
+    for i in np.argsort(rank, kind="stable").tolist():
+        out[i] = seen.setdefault((leads[i], texts[i]), ranks[i]) == ranks[i]
+    return out
+
+
 def sort_part(table: pa.Table, length: int) -> pa.Table:
     """Windows of a part that occur earlier, as spans of window starts for each segment."""
-    column = {name: table.column(name).to_numpy() for name in table.column_names if name != "context"}
-    text, edges = utf8(table.column("context"))
-    text, edges = text[edges[0]:edges[-1]], edges - edges[0]
-    empty = np.diff(edges) == 0
-    some = np.flatnonzero(~empty)
-    hit_segment = [column["segment"][empty]]
-    hit_at, hit_size = [column["at"][empty]], [column["own"][empty]]
+    facts = [numbers(unpacked(x), "<i8").reshape(len(FACTS), -1) for x in table.column("facts").to_pylist()]
+    seed, key, tie, pos, from_segment, first, own, lead, size = np.concatenate(facts, axis=1)
+    body = b"".join(unpacked(x) for x in table.column("texts").to_pylist())
+    edges = np.concatenate(([0], np.cumsum(size)))
+    texts = [body[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
+    rank = dense(key, tie, pos)
+    some = np.flatnonzero(size > 0)
+    stays = np.zeros(len(size), bool)
+    stays[some] = first_contexts([texts[i] for i in some.tolist()], lead[some], rank[some])
+    # A context that is whole in an earlier place is marked whole, like those without text.
+    hit_segment, hit_at, hit_size = [from_segment[~stays]], [first[~stays]], [own[~stays]]
+    some = np.flatnonzero(stays)
     if len(some):
-        own = column["own"][some]
-        rank = dense(*(column[name][some] for name in ("id", "tie", "pos")))
-        context = np.repeat(np.arange(len(some)), own)
-        shift = np.arange(len(context)) - np.repeat(np.cumsum(own) - own, own)
+        text = np.frombuffer(b"".join(texts[i] for i in some.tolist()), np.uint8)
+        del texts, body
+        begin = np.cumsum(size[some]) - size[some]
+        context = np.repeat(np.arange(len(some)), own[some])
+        shift = np.arange(len(context)) - np.repeat(np.cumsum(own[some]) - own[some], own[some])
         # Equal windows lie at one distance from one seed.
-        bucket = mix(column["seed"][some].view(np.uint64)[context]
-                     + mix((column["lead"][some][context] - shift + (1 << 20)).astype(np.uint64)))
-        at = edges[:-1][some][context] + shift
+        distance = (lead[some][context] - shift + (1 << 20)).astype(np.uint64)
+        bucket = mix(seed[some].view(np.uint64)[context] + mix(distance))
+        at = begin[context] + shift
         by_bucket = np.argsort(bucket)
-        sorted_bucket = bucket[by_bucket]
+        in_order = bucket[by_bucket]
         new = np.ones(len(bucket), bool)
-        new[1:] = sorted_bucket[1:] != sorted_bucket[:-1]
+        new[1:] = in_order[1:] != in_order[:-1]
         alone = new & np.append(new[1:], True)
-        by_bucket, sorted_bucket = by_bucket[~alone], sorted_bucket[~alone]
-        cover = CoverRanks(text)
+        by_bucket, in_order = by_bucket[~alone], in_order[~alone]
+        cover = CoverRanks(text) if len(by_bucket) else None
         low = 0
         while low < len(by_bucket):
             # Whole buckets, one block of them at a time.
             edge = min(low + BLOCK, len(by_bucket)) - 1
-            high = int(np.searchsorted(sorted_bucket, sorted_bucket[edge], "right"))
+            high = int(np.searchsorted(in_order, in_order[edge], "right"))
             mine = by_bucket[low:high]
-            late = mine[later_ones(cover, at[mine], sorted_bucket[low:high], rank[context[mine]], length)]
-            hit_segment.append(column["segment"][some][context[late]])
-            hit_at.append(column["at"][some][context[late]] + shift[late])
+            late = mine[later_ones(cover, at[mine], in_order[low:high], rank[some][context[mine]], length)]
+            hit_segment.append(from_segment[some][context[late]])
+            hit_at.append(first[some][context[late]] + shift[late])
             hit_size.append(np.ones(len(late), np.int64))
             low = high
     segment, at, size = (np.concatenate(x) for x in (hit_segment, hit_at, hit_size))
@@ -364,9 +435,9 @@ def sort_part(table: pa.Table, length: int) -> pa.Table:
     segment, at, size = segment[order], at[order], size[order]
     new = np.ones(len(at), bool)
     new[1:] = (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + size[:-1])
-    first = np.flatnonzero(new)
-    sizes = np.add.reduceat(size, first) if len(first) else size
-    segment, at = segment[first], at[first]
+    heads = np.flatnonzero(new)
+    sizes = np.add.reduceat(size, heads) if len(heads) else size
+    segment, at = segment[heads], at[heads]
     marks = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else np.empty(0, np.int64)
     pairs = list(zip(marks.tolist(), [*marks.tolist()[1:], len(segment)]))
     return pa.table({
@@ -403,7 +474,7 @@ def result_rows(asked: DataFrame, id_col: str, length: int) -> DataFrame:
         for row in rows_of(batches):
             starts, ends, edges = removed_spans(row, length)
             out: tuple[list, ...] = ([], [], [], [], [], [])
-            low, body = 0, row["body"]
+            low, body = 0, unpacked(row["body"])
             for i, (key, size, copies) in enumerate(zip(row["ids"], row["sizes"], row["copies"])):
                 own = list(zip(starts[edges[i]:edges[i + 1]].tolist(), ends[edges[i]:edges[i + 1]].tolist()))
                 cuts = [low, *[x for pair in own for x in pair], low + size]
@@ -426,10 +497,11 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if not PERIOD - 1 + REACH <= length <= CHUNK // 2:
         raise ValueError(f"length must be {PERIOD - 1 + REACH} to {CHUNK // 2}")
-    packed = segments(docs, id_col, text_col)
-    total = packed.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    table = segments(docs, id_col, text_col)
+    size = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, one: total + one)
+    total = table.agg(F.sum(size)).first()[0] or 0
     many = max(1, -(-total // ((length - SEED + 2) // 2 * BUCKET)))
-    seeds = seed_rows(packed, many, length)
+    seeds = seed_rows(table, many, length)
     hits = seeds.groupBy("bucket").applyInArrow(repeated_seeds, HIT_SCHEMA)
     path = new_path(docs.sparkSession, "hits")
     hits.write.parquet(path)
@@ -437,12 +509,12 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     contexts = hits.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-contexts * (length + (length - SEED) // 2) // PART))
     found = hits.groupBy("segment").agg(F.collect_list(F.struct("bucket", "hits", "hot")).alias("found"))
-    asked = packed.join(found.hint("shuffle_hash"), "segment")
+    asked = table.join(found.hint("shuffle_hash"), "segment")
     rows = context_rows(asked, many, parts, length)
 
-    def sort(table: pa.Table) -> pa.Table:
-        return sort_part(table, length)
+    def sort(part: pa.Table) -> pa.Table:
+        return sort_part(part, length)
 
     marks = rows.groupBy("part").applyInArrow(sort, MARK_SCHEMA)
     marks = marks.groupBy("segment").agg(F.collect_list(F.struct("starts", "sizes")).alias("marks"))
-    return result_rows(packed.join(marks.hint("shuffle_hash"), "segment", "left"), id_col, length)
+    return result_rows(table.join(marks.hint("shuffle_hash"), "segment", "left"), id_col, length)
