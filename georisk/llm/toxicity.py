@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from georisk.llm import arrays
 from georisk.llm.line_crf import fold, minimise
 from georisk.workspace import settle
 
-FIT_DOCUMENTS, LEXICON = 4000, 4000
+FIT_DOCUMENTS = 4000
 LEAST_DOCUMENTS, LEAST_RATIO = 5, 1.8
 PREFIXES = (4, 5, 6, 7)
 MEMO, LONG_TOKEN = 200_000, 64
@@ -60,10 +60,77 @@ DISGUISED = re.compile(
 # How every span of single characters set apart begins.
 APART = re.compile(_APART + "}")
 WORD = re.compile(_LETTER + "+")
+# Around a token of letters these change nothing; they are neither letters nor signs.
+PLAIN_EDGES = ".,;:?\"()[]{}'-"
+TRIPLED = re.compile(r"(.)\1\1")
 DOUBLED = re.compile(r"(.)\1")
 RUN = re.compile(r"(.)\1+")
 
 
+class Memo:
+    """Answers to the latest questions: a full half takes the place of the older one."""
+
+    def __init__(self, ask: Callable, most: int = MEMO):
+        self.ask, self.most = ask, most
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def __call__(self, key):
+        known = self.new.get(key)
+        if known is None:
+            known = self.old.get(key)
+            if known is None:
+                known = self.ask(key)
+            if len(self.new) >= self.most:
+                self.old, self.new = self.new, {}
+            self.new[key] = known
+        return known
+
+
+# --- tokens of a batch
+
+_SOLID, _SEPARATOR, _INNER = 1, 2, 4
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[128:] = _SOLID  # any part of a longer character may be one of a letter or sign
+_KINDS[128:192] |= _INNER
+for _c in map(chr, range(128)):
+    _KINDS[ord(_c)] |= (_SOLID if _c == "_" or _c.isalnum() or _c in STANDS_FOR else 0) | (_SEPARATOR if _c in SEPARATORS else 0)
+
+
+def may_be_apart(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows that may hold what ``APART`` finds: three single characters in a row, one or two separators between.
+
+    Works on bytes and takes every byte beyond ASCII for a letter, so it never
+    misses a row; ``APART`` itself decides on the rows it names.
+    """
+    out = np.zeros(len(offsets) - 1, bool)
+    kinds = _KINDS[buf]
+    head = (kinds & _INNER) == 0
+    place = np.flatnonzero(head)
+    if len(place) < 6:
+        return out
+    solid, separates = (kinds[place] & _SOLID) > 0, (kinds[place] & _SEPARATOR) > 0
+    # A character that can stand alone: the next one separates.
+    single = np.flatnonzero(solid[:-1] & separates[1:])
+    if len(single) < 3:
+        return out
+    # The next single one comes after one or two separators. The underscore is of both kinds, so
+    # what lies between is not looked at again.
+    near = np.diff(single) <= 3
+    found = place[single[np.flatnonzero(near[:-1] & near[1:])]]
+    out[np.searchsorted(offsets, found, "right") - 1] = True
+    return out
+
+
+def distinct_tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct tokens of a slice in lower case, the token of each occurrence, and the occurrences before each row."""
+    starts, ends, bounds = arrays.words(buf, offsets)
+    _, first, which = np.unique(arrays.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    raw = buf.tobytes()
+    tokens = [raw[a:b].decode().lower() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+    return tokens, which, bounds
+
+
 # --- character language model
 
 def char_of(c: str) -> str:
@@ -77,8 +144,11 @@ def word_table(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many: Counter[str] = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                many.update(WORD.findall((text or "").lower()))
+            for _, _, buf, offsets in arrays.slices(batch.column(0)):
+                tokens, which, _ = distinct_tokens(buf, offsets)
+                for token, n in zip(tokens, np.bincount(which, minlength=len(tokens)).tolist()):
+                    for word in (token,) if token.isalpha() else WORD.findall(token):
+                        many[word] += n
                 if len(many) > MEMO:
                     yield counted(many)
                     many = Counter()
@@ -130,7 +200,7 @@ class Reader:
 
     def __init__(self, costs: dict[str, float]):
         self.costs = costs
-        self.memo: dict[str, str] = {}
+        self.read = Memo(self.decode)
 
     def cost(self, a: str, b: str, c: str) -> float:
         return self.costs.get(a + b + c, UNSEEN)
@@ -176,17 +246,7 @@ class Reader:
 
     def restore(self, text: str) -> str:
         """The text in lower case, its disguised spans read."""
-
-        def read(match: re.Match) -> str:
-            span = match.group()
-            known = self.memo.get(span)
-            if known is None:
-                if len(self.memo) > MEMO:
-                    self.memo.clear()
-                known = self.memo[span] = self.decode(span)
-            return known
-
-        return DISGUISED.sub(read, text.lower())
+        return DISGUISED.sub(lambda match: self.read(match.group()), text.lower())
 
 
 # --- evidence
@@ -263,18 +323,29 @@ def lexicon(sample: DataFrame) -> tuple[dict[str, tuple[int, int, int]], tuple[i
         return {}, (0, 0)
     words = (whole["toxic"], whole["clean"])
     odds = F.log((F.col("toxic") + 0.1) / words[0]) - F.log((F.col("clean") + 0.5) / words[1])
-    chosen = rows.where(F.col("docs") >= LEAST_DOCUMENTS).where("mark <> ''").withColumn("odds", odds).where(
-        F.col("odds") >= LEAST_RATIO).orderBy(F.desc(F.col("odds") * F.col("docs")), "mark").limit(LEXICON)
+    # Marks of LEAST_DOCUMENTS of the fitted documents: their number is bounded with the sample.
+    chosen = rows.where(F.col("docs") >= LEAST_DOCUMENTS).where("mark <> ''").where(odds >= LEAST_RATIO)
     return {r["mark"]: (r["docs"], r["toxic"], r["clean"]) for r in chosen.collect()}, words
 
 
+Told = tuple[int, tuple[tuple[str, float], ...]]
+
+
+def gathered(tokens: Iterable[tuple[Told, int]]) -> list[tuple[float, int]]:
+    """(weight, uses) of each telling word of some tokens and their uses."""
+    found: dict[str, tuple[float, int]] = {}
+    for (_, told), n in tokens:
+        for word, weight in told:
+            found[word] = (weight, found[word][1] + n if word in found else n)
+    return list(found.values())
+
+
 class Scale:
     """Evidence of words: the log odds of their most telling mark."""
 
     def __init__(self, entries: dict[str, tuple[int, int, int]], words: tuple[int, int]):
         self.entries, self.words = entries, words
-        self.memo: dict[str, float] = {}
-        self.tokens: dict[tuple[str, bool], tuple] = {}
+        self.weight = Memo(self.weigh)
 
     def odds(self, docs: int, toxic: int, clean: int) -> float:
         if docs < LEAST_DOCUMENTS or toxic <= 0:
@@ -282,18 +353,16 @@ class Scale:
         value = math.log((toxic + 0.1) / self.words[0]) - math.log((clean + 0.5) / self.words[1])
         return value if value >= LEAST_RATIO else 0.0
 
-    def weight(self, word: str) -> float:
-        known = self.memo.get(word)
-        if known is None:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            known = max((self.odds(*self.entries[m]) for m in marks(word) if m in self.entries), default=0.0)
-            self.memo[word] = known
-        return known
+    def weigh(self, word: str) -> float:
+        return max((self.odds(*self.entries[m]) for m in marks(word) if m in self.entries), default=0.0)
 
-    def token(self, token: str, reader: Reader, restored: bool) -> tuple[int, tuple[tuple[str, float], ...]]:
+    def token(self, token: str, reader: Reader, restored: bool = False) -> Told:
         """Restored words of a token: their number, and those that speak for toxicity."""
-        words = WORD.findall(token if restored else reader.restore(token))
+        plain = token.strip(PLAIN_EDGES)
+        if plain.isalpha() and "ø" not in plain and not TRIPLED.search(plain):
+            words = (plain,)  # nothing in it can be disguised
+        else:
+            words = WORD.findall(token if restored else reader.restore(token))
         told = []
         for word in words:
             weight = self.weight(word)
@@ -305,29 +374,10 @@ class Scale:
         return len(words), tuple(told)
 
     def telling(self, text: str, reader: Reader) -> tuple[list[tuple[float, int]], int]:
-        """(weight, uses) of the telling words of a restored text, and its number of words.
-
-        Only single characters set apart can reach over blanks and need the whole
-        text; all other disguises lie within a token, so each distinct token is
-        restored and weighed once.
-        """
-        text = text.lower()
-        restored = APART.search(text) is not None
-        if restored:
-            text = reader.restore(text)
-        words, found = 0, {}
-        for token, n in Counter(text.split()).items():
-            known = self.tokens.get((token, restored))
-            if known is None:
-                if len(self.tokens) > MEMO:
-                    self.tokens.clear()
-                known = self.token(token, reader, restored)
-                if len(token) < LONG_TOKEN:
-                    self.tokens[token, restored] = known
-            words += known[0] * n
-            for word, weight in known[1]:
-                found[word] = (weight, found[word][1] + n if word in found else n)
-        return list(found.values()), words
+        """(weight, uses) of the telling words of a text, restored as a whole, and its number of words."""
+        many = Counter(reader.restore(text).split())
+        known = {token: self.token(token, reader, True) for token in many}
+        return gathered((known[token], n) for token, n in many.items()), sum(known[t][0] * n for t, n in many.items())
 
     def without(self, uses: Counter[str], y: int) -> list[tuple[float, int]]:
         """As ``telling``, as if the document itself had not been counted."""
@@ -372,15 +422,45 @@ class Model:
     def __init__(self, costs: dict, entries: dict, words: tuple[int, int], theta: np.ndarray | None):
         self.costs, self.entries, self.words, self.theta = costs, entries, words, theta
 
-    def scorer(self) -> Callable[[str], float]:
+    def scorer(self) -> Callable[[pa.Array], list[float]]:
+        """Scores of a column of texts.
+
+        Only single characters set apart can reach over blanks and need the whole
+        text; all other disguises lie within a token, so each distinct token of a
+        slice is restored and weighed once.
+        """
         reader, scale = Reader(self.costs), Scale(self.entries, self.words)
+        short = Memo(lambda token: scale.token(token, reader))
 
-        def score(text: str) -> float:
-            if self.theta is None:
-                return 0.5
-            x = evidence(*scale.telling(text, reader))
+        def logistic(found: list[tuple[float, int]], words: int) -> float:
+            x = evidence(found, words)
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, float(np.dot(self.theta, x))))))
 
+        def score(column: pa.Array) -> list[float]:
+            out: list[float] = []
+            for first, last, buf, offsets in arrays.slices(column):
+                if self.theta is None:
+                    out += [0.5] * (last - first)
+                    continue
+                tokens, which, bounds = distinct_tokens(buf, offsets)
+                known = [short(t) if len(t) < LONG_TOKEN else scale.token(t, reader) for t in tokens]
+                sizes = np.fromiter((k[0] for k in known), np.int64, len(known))
+                tells = np.fromiter((bool(k[1]) for k in known), bool, len(known))
+                before = np.concatenate(([0], np.cumsum(sizes[which])))
+                telling = np.flatnonzero(tells[which])
+                at = np.searchsorted(telling, bounds)
+                whole = may_be_apart(buf, offsets)
+                for row in range(last - first):
+                    if whole[row]:
+                        text = column[first + row].as_py().lower()
+                        if APART.search(text):
+                            out.append(logistic(*scale.telling(text, reader)))
+                            continue
+                    uses = Counter(which[telling[at[row]:at[row + 1]]].tolist())
+                    words = int(before[bounds[row + 1]] - before[bounds[row]])
+                    out.append(logistic(gathered((known[t], n) for t, n in uses.items()), words))
+            return out
+
         return score
 
 
@@ -417,7 +497,7 @@ def score_toxicity(
         score = model.value.scorer()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([score(t or "") for t in batch.column(1).to_pylist()], pa.float64())],
+                [batch.column(0), pa.array(score(batch.column(1)), pa.float64())],
                 names=["id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
