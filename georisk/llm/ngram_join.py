@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join behind Bayesian pruning of MinHash candidates.
 
-Documents with one set of word shingles form a class, and classes are joined
-through their smallest document. Classes meet in the bands of a MinHash
+Documents with one set of word shingles form a class, and classes are numbered
+once and joined through one of their documents. Classes meet in the bands of a MinHash
 signature. Pairs in a band are compared a few signature values at a time and
 dropped as soon as the posterior probability of reaching the threshold falls
 below ``TOLERANCE``; what survives ties the classes into clusters. Inside a
@@ -17,9 +17,11 @@ threshold 0.8 misses all bands with probability 5e-8; pruning loses at most
 
 Defined cases: a text with 1 to 4 words is one shingle; a text without words
 (null, empty, blank) links with nothing; rows with one id and one shingle set
-are one document; a null id takes part through its class, and is its own
-component otherwise (null); an empty table gives no rows; extra columns are
-ignored by the join and kept by ``keep_one_per_group``.
+are one document, and so are rows with a null id and one shingle set; rows with
+one id and different sets are documents of their own; the component is the
+smallest id in it that is not null, null if there is none; an empty table gives
+no rows; extra columns are ignored by the join and kept by
+``keep_one_per_group``.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from georisk.llm import arrays
 from georisk.llm.graph import components
@@ -42,7 +44,7 @@ LOOKS = (16, 32, 64, 96, 128)
 TOLERANCE = 1e-9
 TILE = 512
 
-SKETCH_SCHEMA = "id long, hi long, lo long, bands array<long>, sig binary"
+SKETCH_SCHEMA = "id long, mark long, hi long, lo long, bands array<long>, sig binary"
 
 
 def _seeds() -> tuple[np.ndarray, np.ndarray]:
@@ -109,11 +111,11 @@ def survivors(sig: np.ndarray, row: int, others: np.ndarray, limits: list[int])
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, shingle set hash, bands, signature) of each document; no bands without words."""
+    """(id, text hash, shingle set hash, bands, signature) of each document; no bands without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, buf, offsets in arrays.slices(batch.column(1)):
+            for first, last, buf, offsets in arrays.slices(batch.column(2)):
                 hashes, bounds = arrays.word_hashes(buf, offsets)
                 values, at = arrays.distinct_sorted(*arrays.shingles(hashes, bounds, size))
                 sig = signatures(values, at)
@@ -125,14 +127,23 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
                 keys = band_keys(sig)[full]
                 ends = np.concatenate(([0], np.cumsum(full * BANDS))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, last - first),
+                    batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first),
                     pa.array(sets[:, 0].copy(), mask=~full), pa.array(sets[:, 1].copy(), mask=~full),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1))),
                     arrays.binaries(sig.reshape(-1).astype(np.uint8), np.arange(last - first + 1) * VALUES),
-                ], names=["id", "hi", "lo", "bands", "sig"])
+                ], names=["id", "mark", "hi", "lo", "bands", "sig"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, SKETCH_SCHEMA)
+    return texts_of(docs, id_col, text_col).mapInArrow(run, SKETCH_SCHEMA)
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, mark, text): a null text and an empty one have one mark."""
+    return docs.select(
+        F.col(id_col).cast("long").alias("id"), text_mark(text_col).alias("mark"), F.col(text_col).alias("text"))
+
+
+def text_mark(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def in_tiles(rows: DataFrame, group: str, member: str, size: str) -> DataFrame:
@@ -281,9 +292,14 @@ def count_links(
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``wanted`` (rep, ...) with the sorted distinct shingles of the document ``rep``."""
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    rows = texts.join(wanted, "rep")
+    """``wanted`` (rep, first_id, first_mark, ...) with the sorted distinct shingles of a document of each class."""
+    texts = texts_of(docs, id_col, text_col)
+    known = wanted.where("first_id IS NOT NULL").withColumnRenamed("first_id", "id")
+    rows = texts.drop("mark").join(known, "id").drop("id", "first_mark")
+    # Classes of null ids only: by the text, one row of each.
+    nameless = wanted.where("first_id IS NULL").withColumnRenamed("first_mark", "mark")
+    rows = rows.unionByName(
+        texts.where("id IS NULL").drop("id").dropDuplicates(["mark"]).join(nameless, "mark").drop("mark", "first_id"))
     names = [c for c in rows.columns if c != "text"]
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text") + ", hi2 long, lo2 long, values binary"
 
@@ -304,34 +320,31 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     return rows.mapInArrow(run, schema)
 
 
-def jaccard_links(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-    threshold: tuple[int, int] = (4, 5),
-) -> DataFrame:
-    """One row per document: ``class_id``, ``n_links``, ``component_id`` and ``kept``.
+def linked_classes(
+    docs: DataFrame, id_col: str, text_col: str, size: int, threshold: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and (hi, lo, rep, first_id, copies, linked, component) of their classes.
 
-    ``class_id`` is the smallest id with the same shingle set (null without
-    words), ``n_links`` the number of other documents at a Jaccard similarity
-    of at least ``threshold`` (a fraction), ``component_id`` the smallest id
-    reachable by links, itself included, and ``kept`` marks that document.
+    ``component`` is the number of a class that stands for all classes that
+    links reach from ``rep``; it is null for a class that links with no other.
     """
     high, low = threshold
     limits = least_matches(high / low, TOLERANCE)
     sketches = settle(sketch(docs, id_col, text_col, size), "sketches")
-    members = sketches.where("hi is not null").select("id", "hi", "lo").distinct()
-    sets = members.groupBy("hi", "lo").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    sets = settle(sets, "classes")
+    worded = sketches.where("hi is not null")
+    members = worded.groupBy("id", "hi", "lo").agg(F.min("mark").alias("mark"))
+    sets = settle(members.groupBy("hi", "lo").agg(
+        F.min("id").alias("first_id"), F.min("mark").alias("first_mark"), F.count(F.lit(1)).alias("copies")).withColumn(
+        "rep", F.monotonically_increasing_id()), "classes")
     # The signature of a class is that of any of its rows: one row of its smallest document.
-    own = sketches.where("hi is not null").join(
-        sets.where("rep is not null").withColumn("id", F.col("rep")), ["hi", "lo", "id"])
-    classes = settle(own.dropDuplicates(["rep", "hi", "lo"]).select(
-        "rep", "hi", "lo", "copies", "bands", "sig"), "class_rows")
+    own = worded.join(sets, ["hi", "lo"]).where(F.col("id").eqNullSafe(F.col("first_id")))
+    classes = settle(own.dropDuplicates(["rep"]).select(
+        "rep", "hi", "lo", "first_id", "first_mark", "copies", "bands", "sig"), "class_rows")
 
     ties = components(candidate_links(classes, high / low), "a", "b")
     ties = settle(ties.withColumnRenamed("id", "rep"), "ties")
     sizes = ties.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    wanted = ties.join(sizes, "component").join(classes.select("rep", "hi", "lo", "copies"), "rep")
+    wanted = ties.join(sizes, "component").join(classes.drop("bands", "sig"), "rep")
     rows = shingle_sets(docs, wanted, id_col, text_col, size).where("hi = hi2 and lo = lo2").drop("hi2", "lo2")
     keys = ["component", "ti", "tj"]
     tiles = in_tiles(rows, "component", "rep", "size").drop("size").repartition(*keys).sortWithinPartitions(*keys)
@@ -346,12 +359,28 @@ def jaccard_links(
     linked = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
     reached = components(found, "rep", "root").withColumnRenamed("id", "rep")
     # Facts meet the classes first, one row each, and then the documents of a class.
-    facts = settle(sets.join(linked.join(reached, "rep", "left"), "rep", "left"), "class_facts")
+    return sketches, settle(sets.join(linked.join(reached, "rep", "left"), "rep", "left"), "class_facts")
 
-    rows = members.join(facts, ["hi", "lo"]).select(
-        "id", F.col("rep").alias("class_id"),
+
+def jaccard_links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
+    threshold: tuple[int, int] = (4, 5),
+) -> DataFrame:
+    """One row per document: ``class_id``, ``n_links``, ``component_id`` and ``kept``.
+
+    ``class_id`` is the smallest id with the same shingle set (null without
+    words), ``n_links`` the number of other documents at a Jaccard similarity
+    of at least ``threshold`` (a fraction), ``component_id`` the smallest id
+    reachable by links, itself included, and ``kept`` marks that document.
+    """
+    sketches, facts = linked_classes(docs, id_col, text_col, size, threshold)
+    least = facts.where("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least_id"))
+    facts = facts.join(least, "component", "left").select(
+        "hi", "lo", F.col("first_id").alias("class_id"),
         (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+        F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
+    members = sketches.where("hi is not null").select("id", "hi", "lo").distinct()
+    rows = members.join(facts, ["hi", "lo"]).drop("hi", "lo")
     blank = sketches.where("hi is null").select("id").distinct().select(
         "id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
         F.col("id").alias("component_id"))
@@ -361,12 +390,27 @@ def jaccard_links(
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that are linked to a smaller one; columns unchanged.
+def keep_one_per_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: tuple[int, int] = (4, 5)
+) -> DataFrame:
+    """One document of each group of linked or equal texts; columns unchanged.
 
-    Rows that repeat one id are copies as well: one of them stays. Rows with a
-    null id stay.
+    It is the one with the smallest id, null last, and of several texts of that
+    id the one with the smallest hash; of rows that agree in id and text one
+    stays. Rows without words stay. Nothing else goes: a row whose text is like
+    no other stays whatever its id.
     """
-    kept = jaccard_links(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__kept")).distinct()
-    rows = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+    sketches, facts = linked_classes(docs, id_col, text_col, size, threshold)
+    group = F.coalesce("component", "rep").alias("group")
+    rows = sketches.where("hi IS NOT NULL").join(facts, ["hi", "lo"]).select(group, "id", "mark")
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "mark")).alias("first")
+    kept = rows.groupBy("group").agg(first).select(F.col("first.id").alias("__id"), F.col("first.mark").alias("__mark"))
+    blank = sketches.where("hi IS NULL").select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    names = docs.columns
+    marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": text_mark(text_col)})
+
+    def among(chosen: DataFrame) -> DataFrame:
+        same = (marked["__mark"] == chosen["__mark"]) & marked["__id"].eqNullSafe(chosen["__id"])
+        return marked.join(chosen, same, "left_semi")
+
+    return among(kept).dropDuplicates(["__id", "__mark"]).unionByName(among(blank)).select(*names)
