@@ -15,7 +15,8 @@ costs no quadratic table.
 Defined cases: vectors that are null, empty, zero, hold null or non-finite
 components, or have a null label or id link with nothing and are their own
 component; vectors of different lengths are never compared; rows that repeat id,
-label and vector are one vector; an empty table gives no rows; extra columns
+label and vector are one vector, rows with one id and different vectors are
+vectors of their own; an empty table gives no rows; extra columns
 are ignored.
 """
 
@@ -235,8 +236,10 @@ def cosine_links(
     limit = math.sqrt(2 - 2 * threshold)
     all_rows = settle(usable(rows, id_col, vector_col, label_col).distinct(), "vectors")
     group = ["label", "dim"]
+    # Classes are numbered: one id may have several vectors.
     classes = settle(all_rows.where("raw is not null").groupBy(*group, "raw").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vector_classes")
+        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")).withColumn(
+        "rep", F.monotonically_increasing_id()), "vector_classes")
     sizes = classes.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).select(
         *group, F.ceil(F.col("n") / BLOCK).alias("parts"),
         F.least(F.lit(PIVOTS), F.ceil(F.col("n") / BLOCK)).alias("pivots"))
@@ -279,10 +282,12 @@ def cosine_links(
         run, "rep long, linked long, root long"), "tile_links")
     linked = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
     reached = components(found, "rep", "root").withColumnRenamed("id", "rep")
-    facts = classes.join(linked.join(reached, "rep", "left"), "rep", "left")
+    facts = settle(classes.join(linked.join(reached, "rep", "left"), "rep", "left"), "class_facts")
+    least = facts.where("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least_id"))
+    facts = facts.join(least, "component", "left")
     good = all_rows.where("raw is not null").join(facts, [*group, "raw"]).select(
         "id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+        F.coalesce("least_id", "first_id").alias("component_id"))
     alone = all_rows.where("raw is null").select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return good.unionByName(alone).select(
