@@ -1,8 +1,10 @@
 """Mixing sources to target weights with blocks drawn by multinomial counts.
 
-Words of a source are packed into fixed-length blocks. Output shards of slots
-draw how many blocks they take from each source: the whole part of the
-expectation, and a multinomial draw for the rest. A source's slots are numbered
+Words of a source are packed into fixed-length blocks. Each source has as many
+slots as its target asks for, and output shards draw how many of them they take
+from each source: a multinomial draw given these totals (a multivariate
+hypergeometric one), so that shards vary as in a free draw and the mix as a whole
+stays on target. A source's slots are numbered
 through all shards, and a pseudorandom permutation of the source's block
 indexes, another one for each pass, maps slot numbers to blocks. Slots join
 blocks by index, and blocks know which words of which documents they hold.
@@ -16,6 +18,7 @@ are ignored by ``mix_plan`` and kept by ``mix_texts``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -105,7 +108,7 @@ def block_table(sized: DataFrame, facts: list[dict]) -> tuple[DataFrame, DataFra
         "source string, src long, runs long")
     rows = sized.where("size > 0").join(
         F.broadcast(known), sized["source"].eqNullSafe(known["source"])).select(
-        "rid", "doc_id", "size", "src", F.pmod(F.xxhash64("doc_id", "size"), "runs").alias("run"))
+        "rid", "doc_id", "size", "src", F.pmod(F.xxhash64(F.coalesce("doc_id", "rid"), "size"), "runs").alias("run"))
     order = Window.partitionBy("src", "run").orderBy("doc_id", "size", "rid")
     rows = settle(rows.withColumn("first", F.sum("size").over(
         order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")), "runs")
@@ -126,6 +129,41 @@ def block_table(sized: DataFrame, facts: list[dict]) -> tuple[DataFrame, DataFra
     return held, runs.groupBy("src").agg(F.sum("n").alias("blocks"))
 
 
+def whole_slots(goals: np.ndarray, slots: int) -> np.ndarray:
+    """Whole numbers that sum to ``slots``, each within one of its share."""
+    exact = goals / goals.sum() * slots
+    counts = np.floor(exact + 1e-9).astype(np.int64)
+    rest = np.argsort(counts - exact, kind="stable")[:slots - int(counts.sum())]
+    counts[rest] += 1
+    return counts
+
+
+def draw_part(counts: np.ndarray, size: int, draw: np.random.Generator) -> np.ndarray:
+    """How many of ``size`` slots drawn without replacement fall to each source."""
+    out, left = np.zeros(len(counts), np.int64), int(counts.sum())
+    for i, own in enumerate(counts.tolist()):
+        other = left - own
+        if left < 10**9:
+            taken = int(draw.hypergeometric(own, other, size)) if size else 0
+        else:
+            # The same mean and variance, beyond the numbers that the exact draw takes.
+            mean = size * own / left
+            spread = math.sqrt(max(0.0, mean * other / left * (left - size) / (left - 1)))
+            taken = min(max(round(mean + spread * draw.standard_normal()), size - other, 0), own, size)
+        out[i], size, left = taken, size - taken, other
+    return out
+
+
+def shard_counts(totals: np.ndarray, per: int, shards: int, shard: int, seed: int) -> np.ndarray:
+    """Slots of each source in one shard: the totals are halved, each half by its own draw, down to the shard."""
+    slots, counts, low, high = int(totals.sum()), totals, 0, shards
+    while high - low > 1:
+        middle = (low + high) // 2
+        left = draw_part(counts, min(middle * per, slots) - low * per, np.random.default_rng([seed, low, high]))
+        low, high, counts = (low, middle, left) if shard < middle else (middle, high, counts - left)
+    return counts
+
+
 def draw_slots(spark, facts: list[dict], total: int, seed: int) -> DataFrame:
     """(src, block, times): how often the mix takes each block that it takes.
 
@@ -134,20 +172,14 @@ def draw_slots(spark, facts: list[dict], total: int, seed: int) -> DataFrame:
     slots = max(1, round(total / BLOCK_WORDS))
     per = max(SHARD_SLOTS, -(-slots // MOST_SHARDS))
     shards = -(-slots // per)
-    share = np.array([f["target"] for f in facts]) / total
+    totals = whole_slots(np.array([f["target"] for f in facts]), slots)
     blocks = {f["src"]: f["blocks"] for f in facts}
     ids = [f["src"] for f in facts]
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                size = min(per, slots - shard * per)
-                expected = share * size
-                counts = np.floor(expected + 1e-9).astype(np.int64)
-                rest = np.maximum(expected - counts, 0)
-                open_ = size - int(counts.sum())
-                if open_ > 0 and rest.sum() > 0:
-                    counts += np.random.default_rng([seed, shard]).multinomial(open_, rest / rest.sum())
+                counts = shard_counts(totals, per, shards, shard, seed)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([shard] * len(ids), pa.int64()), pa.array(ids, pa.int64()),
                     pa.array(counts)], names=["shard", "src", "n"])
