@@ -77,10 +77,54 @@ def test_ngram_join_cases(spark, odd_docs, no_docs):
     for blank in (1, 2, 3, 10):
         assert rows[blank]["n_links"] == 0 and rows[blank]["kept"] and rows[blank]["class_id"] is None
     assert ngram_join.jaccard_links(no_docs).count() == 0
-    assert ngram_join.keep_one_per_group(odd_docs).count() == len(ODD_ROWS) - 2
+    # Of "one two" the first stays; the row without an id is a near copy of document 7.
+    kept = ngram_join.keep_one_per_group(odd_docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 8, 9, 10]
     assert ngram_join.keep_one_per_group(odd_docs).columns == odd_docs.columns
 
 
+LONG_A = " ".join(f"w{i}" for i in range(300))
+LONG_B = LONG_A.replace("w299", "other")
+
+
+def test_rows_of_one_id_and_rows_without_are_told_apart(spark):
+    clean = " ".join(f"c{i}" for i in range(60))
+    rows = [(5, LONG_A), (5, LONG_B), (7, LONG_A), (9, clean), (9, LONG_B), (None, clean), (None, clean + " more"), (None, "own words of no one else")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links = {(r["doc_id"], r["class_id"], r["n_links"], r["component_id"]) for r in ngram_join.jaccard_links(docs).collect()}
+    assert (5, 5, 3, 5) in links and (7, 5, 3, 5) in links and (9, 5, 3, 5) in links and (9, 9, 2, 9) in links
+    assert (None, None, 2, 9) in links and (None, None, 0, None) in links
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in ngram_join.keep_one_per_group(docs).collect())
+    assert [k for k, _ in kept] == [0, 5, 9] and kept[0][1] == "own words of no one else" and kept[2][1] == clean
+    # Copies without an id: one of them stays.
+    docs = spark.createDataFrame([(None, clean), (None, clean), (7, clean), (None, LONG_A), (None, LONG_A)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in ngram_join.keep_one_per_group(docs).collect()) == [(0, LONG_A), (7, clean)]
+
+
+def test_vectors_of_one_id_are_told_apart(spark):
+    rows = [(5, "a", [1.0, 0.0]), (5, "a", [1.0, 0.1]), (8, "a", [0.0, 1.0]), (5, "a", [0.0, 1.0]), (9, "b", [1.0, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    found = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_pairs.cosine_links(docs).collect())
+    assert found == [(5, 1, 5, True), (5, 1, 5, True), (5, 1, 5, True), (8, 1, 5, False), (9, 0, 9, True)]
+
+
+def test_shards_vary_as_multinomial_draws_and_totals_hold():
+    totals = mixing.whole_slots(np.array([0.05, 0.2, 0.75]), 4096 * 256)
+    assert totals.sum() == 4096 * 256 and abs(totals[0] - 0.05 * 4096 * 256) <= 1
+    counts = np.array([mixing.shard_counts(totals, 4096, 256, shard, 7) for shard in range(256)])
+    assert (counts.sum(1) == 4096).all() and (counts.sum(0) == totals).all()
+    for own, share in zip(counts.T, (0.05, 0.2, 0.75)):
+        assert 0.7 < own.var() / (4096 * share * (1 - share)) < 1.35
+    assert not np.array_equal(counts[0], mixing.shard_counts(totals, 4096, 256, 0, 8))
+    # The last shard is shorter, and numbers beyond the exact draw keep their mean and variance.
+    short = np.array([7, 0, 13])
+    parts = [mixing.shard_counts(short, 8, 3, shard, 1) for shard in range(3)]
+    assert [p.sum() for p in parts] == [8, 8, 4] and np.array_equal(sum(parts), short)
+    draw = np.random.default_rng(3)
+    large = np.array([mixing.draw_part(np.array([10**9, 3 * 10**9]), 10**6, draw)[0] for _ in range(400)])
+    assert abs(large.mean() - 250_000) < 100 and 0.8 < large.var() / 187_500 < 1.25
+
+
 def near_copies(n):
     words = [f"w{i}" for i in range(120)]
     return [(i, " ".join([*words[:i % 100], f"edit{i}", *words[i % 100 + 1:]])) for i in range(n)]
@@ -238,6 +282,62 @@ def test_scoring_reads_all_disguises_that_fitting_reads():
         assert found == scale.telling(restored, reader) and len(found[0]) == 1, text
 
 
+def all_readings(reader, span):
+    """Every reading of a span and its cost, without any pruning."""
+    found = [((toxicity.EDGE, toxicity.EDGE), 0.0, "")]
+    for place, char in enumerate(span):
+        following = []
+        letters = toxicity.STANDS_FOR.get(char, "")
+        for (a, b), price, text in found:
+            if char in toxicity.SEPARATORS:
+                end = 0.0 if b == toxicity.EDGE else reader.cost(a, b, toxicity.EDGE)
+                following += [((a, b), price + toxicity.DROP_SEPARATOR, text),
+                              ((toxicity.EDGE, toxicity.EDGE), price + end, text + " ")]
+                continue
+            if place and span[place - 1] == char and (b == toxicity.char_of(char) or b in letters):
+                following.append(((a, b), price + toxicity.DROP_REPEAT, text))
+            options = [(char, 0.0)] if char.isalpha() else []
+            options += [(letter, toxicity.SUBSTITUTE) for letter in letters]
+            for letter, extra in options or [(char, toxicity.UNSEEN)]:
+                shown = toxicity.char_of(letter)
+                following.append(((b, shown), price + extra + reader.cost(a, b, shown), text + letter))
+        found = following
+    ends = [(price + (0.0 if b == toxicity.EDGE else reader.cost(a, b, toxicity.EDGE)), text) for (a, b), price, text in found]
+    return min(price for price, _ in ends), ends
+
+
+@pytest.mark.parametrize("span", ["1d10t", "i d i", "1.6.8", "aa@@", "b 0 0 b", "666", "x_y"])
+def test_the_decoder_finds_the_cheapest_of_all_readings(span):
+    draw = np.random.default_rng(len(span))
+    letters = "idotagbszly^"
+    costs = {a + b + c: float(draw.uniform(0.2, 6)) for a in letters for b in letters for c in letters}
+    reader = toxicity.Reader(costs)
+    least, ends = all_readings(reader, span)
+    assert reader.decode(span) in {text for price, text in ends if price <= least + 1e-9}
+
+
+def test_scores_of_a_column_equal_those_of_whole_restored_texts():
+    costs = {"^^i": 1.0, "^id": 1.0, "idi": 1.0, "dio": 1.0, "iot": 1.0, "ot^": 1.0}
+    entries = {"=idiot": (50, 500, 0), "=scum": (40, 300, 1)}
+    model = toxicity.Model(costs, entries, (1000, 1000), np.linspace(-1, 1, 8))
+    texts = ["", None, "an 1d10t, (scum) and \"idiot\"!", "i d i o t here", "a b c d e", "idiooot scum scum", "Ünï - ø 1.2.3 i.d.i.o.t",
+             "word\u00a0idiot \u2003scum", "x" * 200 + " idiot", "i- d- i- o- t", "'i d i o t'", "so i_d_i_o_t it is", "日 本 語 x"] * 3
+    reader, scale = toxicity.Reader(costs), toxicity.Scale(entries, (1000, 1000))
+    for text, score in zip(texts, model.scorer()(pa.array(texts))):
+        x = toxicity.evidence(*scale.telling((text or "").lower(), reader))
+        assert score == pytest.approx(1 / (1 + np.exp(-float(np.dot(model.theta, x)))))
+
+
+def test_rows_that_apart_finds_are_never_missed():
+    draw = np.random.default_rng(6)
+    signs = ["a", "b", "é", " ", ".", "-", "\n", "1", "$", "_", "日", ",", "  ", "word"]
+    texts = ["".join(draw.choice(signs, 14)) for _ in range(3000)]
+    for first, last, buf, offsets in arrays.slices(pa.array(texts)):
+        named = toxicity.may_be_apart(buf, offsets)
+        for row, text in enumerate(texts[first:last]):
+            assert named[row] or not toxicity.APART.search(text), text
+
+
 def passages_of(spark, *texts):
     docs = spark.createDataFrame([(i + 1, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     rows = substring_dedup.repeated_passages(docs).collect()
