@@ -23,6 +23,7 @@ HEADLINE = (
 
 def main() -> None:
     from driver_queries.queries import QUERIES
+    from georisk.workspace import ship_package
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -35,7 +36,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    spark = builder.getOrCreate()
+    spark = ship_package(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     spark.read.parquet(f"{sf_dir}/orders.parquet").write.format("noop").mode("overwrite").save()

@@ -7,6 +7,7 @@
     sweep     history files -> inertia and silhouette per number of clusters
     year      map feed -> the points of one year, or of the latest one
     numbers   history files -> values per file and column that are no numbers
+    merge     history files -> merged table; only files that are new are parsed
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from georisk.operators.cleaning import clean_counts, coerce_text, drop_repeated_header, present
 from georisk.operators.models import all_features, best_k, kmeans_sweep
@@ -36,7 +37,7 @@ from georisk.plans.yearly_maps import (
 )
 from georisk.roles import DEFAULT_ROLES
 from georisk.sources.forecast import load_forecast_text, scan_forecast_text
-from georisk.sources.merged import load_merged
+from georisk.sources.merged import load_merged, merge_files
 from georisk.sources.occurrences import unparsed_counts
 from georisk.workspace import build_session, drop_settled, settle
 
@@ -51,9 +52,13 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option}", required=True)
         return sub
 
+    def merging(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--refresh", action="store_true", help="parse all files anew")
+        sub.add_argument("--quarantine", help="folder for rows with bad numbers, which fail the job otherwise")
+
     for name in ("forecast", "evaluate"):
         sub = job(name, "files", "merged", "model", "out")
-        sub.add_argument("--refresh", action="store_true", help="rebuild the merged table")
+        merging(sub)
         sub.add_argument("--trees", type=int, default=200)
         sub.add_argument("--depth", type=int, default=20)
         if name == "forecast":
@@ -66,14 +71,21 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--key", help="column that draws the sample")
     job("maps", "files", "out").add_argument("--forecast")
     job("check", "forecast")
-    job("sweep", "files", "merged", "out").add_argument("--refresh", action="store_true")
+    merging(job("sweep", "files", "merged", "out"))
+    merging(job("merge", "files", "merged"))
     job("year", "feed", "out").add_argument("--year", type=int, default=DEFAULT_YEAR)
     job("numbers", "files", "out")
     return top
 
 
+def merged_history(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
+    return load_merged(
+        spark, options.files, options.merged, refresh=options.refresh, quarantine=options.quarantine
+    )
+
+
 def forecast_job(spark: SparkSession, options: argparse.Namespace) -> None:
-    history = load_merged(spark, options.files, options.merged, refresh=options.refresh)
+    history = merged_history(spark, options)
     history_report(history).orderBy(DEFAULT_ROLES.month).show()
     bundle = load_or_train(
         spark, options.model, history, trees=options.trees, depth=options.depth
@@ -91,7 +103,7 @@ def forecast_job(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def evaluate_job(spark: SparkSession, options: argparse.Namespace) -> None:
-    history = load_merged(spark, options.files, options.merged, refresh=options.refresh)
+    history = merged_history(spark, options)
     bundle = load_or_train(
         spark, options.model, history, trees=options.trees, depth=options.depth
     )
@@ -118,7 +130,7 @@ def check_job(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def sweep_job(spark: SparkSession, options: argparse.Namespace) -> None:
-    history = load_merged(spark, options.files, options.merged, refresh=options.refresh)
+    history = merged_history(spark, options)
     found = settle(kmeans_sweep(*all_features(history)), "sweep")
     found.write.mode("overwrite").parquet(options.out)
     found.orderBy("k").show(found.count(), truncate=False)
@@ -133,9 +145,16 @@ def numbers_job(spark: SparkSession, options: argparse.Namespace) -> None:
     unparsed_counts(spark, options.files).write.mode("overwrite").parquet(options.out)
 
 
+def merge_job(spark: SparkSession, options: argparse.Namespace) -> None:
+    count = merge_files(
+        spark, options.files, options.merged, refresh=options.refresh, quarantine=options.quarantine
+    )
+    print(f"{count} files merged")
+
+
 JOBS = {
     "forecast": forecast_job, "evaluate": evaluate_job, "maps": maps_job, "check": check_job,
-    "sweep": sweep_job, "year": year_job, "numbers": numbers_job,
+    "sweep": sweep_job, "year": year_job, "numbers": numbers_job, "merge": merge_job,
 }
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +30,24 @@ def build_session(app: str = "georisk", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, so that tasks find it wherever the driver was started.
+
+    The zip lies in the driver's temporary folder and is served by Spark itself.
+    """
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="georisk-"), "georisk.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("georisk", os.path.relpath(path, here)))
+    spark.sparkContext.addPyFile(archive)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
