@@ -345,7 +345,8 @@ class Scale:
 
     def __init__(self, entries: dict[str, tuple[int, int, int]], words: tuple[int, int]):
         self.entries, self.words = entries, words
-        self.weight = Memo(self.weigh)
+        # Beginnings of all marks: most words have none of them and are done with one look.
+        self.heads = {mark.removeprefix("=")[:PREFIXES[0]] for mark in entries}
 
     def odds(self, docs: int, toxic: int, clean: int) -> float:
         if docs < LEAST_DOCUMENTS or toxic <= 0:
@@ -353,15 +354,22 @@ class Scale:
         value = math.log((toxic + 0.1) / self.words[0]) - math.log((clean + 0.5) / self.words[1])
         return value if value >= LEAST_RATIO else 0.0
 
-    def weigh(self, word: str) -> float:
+    def weight(self, word: str) -> float:
+        if word[:PREFIXES[0]] not in self.heads:
+            return 0.0
         return max((self.odds(*self.entries[m]) for m in marks(word) if m in self.entries), default=0.0)
 
     def token(self, token: str, reader: Reader, restored: bool = False) -> Told:
         """Restored words of a token: their number, and those that speak for toxicity."""
         plain = token.strip(PLAIN_EDGES)
-        if plain.isalpha() and "ø" not in plain and not TRIPLED.search(plain):
-            words = (plain,)  # nothing in it can be disguised
-        else:
+        words = None
+        if plain.isalpha() and "ø" not in plain:
+            if not DOUBLED.search(plain):
+                weight = self.weight(plain)
+                return 1, ((plain, weight),) if weight else ()
+            if not TRIPLED.search(plain):
+                words = (plain,)  # nothing in it can be disguised
+        if words is None:
             words = WORD.findall(token if restored else reader.restore(token))
         told = []
         for word in words:
@@ -443,7 +451,8 @@ class Model:
                     out += [0.5] * (last - first)
                     continue
                 tokens, which, bounds = distinct_tokens(buf, offsets)
-                known = [short(t) if len(t) < LONG_TOKEN else scale.token(t, reader) for t in tokens]
+                latest = short.new
+                known = [latest.get(t) or (short(t) if len(t) < LONG_TOKEN else scale.token(t, reader)) for t in tokens]
                 sizes = np.fromiter((k[0] for k in known), np.int64, len(known))
                 tells = np.fromiter((bool(k[1]) for k in known), bool, len(known))
                 before = np.concatenate(([0], np.cumsum(sizes[which])))
