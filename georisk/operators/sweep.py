@@ -9,17 +9,20 @@ the rows only, so another cluster gives the same centres.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from georisk.workspace import settle
 
-# Vectors of a block, rows that the first centres come from, sums added by one task, and the
-# squared movement of all centres, in units of the variance, below which they have settled.
-BLOCK, START_ROWS, ADDED, SETTLED = 1 << 15, 20_000, 4096, 1e-4
+# Vectors of a block, rows that the first centres come from, sums added by one task, the
+# squared movement of all centres, in units of the variance, below which they have settled,
+# and blocks that a task takes from Spark at a time.
+BLOCK, START_ROWS, ADDED, SETTLED, TAKEN = 1 << 15, 20_000, 4096, 1e-4, 2
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SUMS_SCHEMA = "k int, block long, sums binary"
 
 Centres = dict[int, np.ndarray]
@@ -49,6 +52,25 @@ def pack_blocks(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select(*columns).mapInArrow(run, "block long, body binary")
 
 
+@contextmanager
+def few_at_once(spark: SparkSession) -> Iterator[None]:
+    """Tasks get ``TAKEN`` blocks at a time, and not all of a file in one batch."""
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(TAKEN))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
+def blocks_in(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Number and vectors of each block, without copies of the bodies."""
+    for batch in batches:
+        numbers, bodies = batch.columns
+        for number, body in zip(numbers, bodies):
+            yield number.as_py(), np.frombuffer(body.as_buffer(), "<f8").reshape(-1, dims)
+
+
 def squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of rows to centres."""
     return np.maximum((x * x).sum(1)[:, None] - 2.0 * x @ centres.T + (centres * centres).sum(1), 0.0)
@@ -81,7 +103,8 @@ def collected(sums: DataFrame, blocks: int, columns: int) -> dict[int, np.ndarra
         span = (F.col("block") % F.lit(-(-blocks // ADDED))).cast("int")
         keyed = sums.select((F.col("k") + F.lit(1 << 16) * span).alias("k"), "block", "sums")
         sums = add_up(keyed).select((F.col("k") % F.lit(1 << 16)).alias("k"), "block", "sums")
-    rows = add_up(sums).collect()  # one row per k
+    with few_at_once(sums.sparkSession):
+        rows = add_up(sums).collect()  # one row per k
     return {row["k"]: np.frombuffer(row["sums"], "<f8").reshape(-1, columns) for row in rows}
 
 
@@ -89,17 +112,15 @@ def scan(packed: DataFrame, centres: Centres, dims: int, blocks: int) -> dict[in
     """One pass: ``block_sums`` of the clusters nearest to each k's centres."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(body, "<f8").reshape(-1, dims)
-                out = []
-                for own in centres.values():
-                    distance = squares(x, own)
-                    labels = distance.argmin(1)
-                    out.append(block_sums(x, labels, distance[np.arange(len(x)), labels], len(own)).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(centres), pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array(out, pa.binary())],
-                    names=["k", "block", "sums"])
+        for block, x in blocks_in(batches, dims):
+            out = []
+            for own in centres.values():
+                distance = squares(x, own)
+                labels = distance.argmin(1)
+                out.append(block_sums(x, labels, distance[np.arange(len(x)), labels], len(own)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(centres), pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array(out, pa.binary())],
+                names=["k", "block", "sums"])
 
     return collected(packed.mapInArrow(run, SUMS_SCHEMA), blocks, dims + 3)
 
@@ -139,25 +160,23 @@ def silhouettes(packed: DataFrame, centres: Centres, sums: dict[int, np.ndarray]
     """Mean silhouette of every k by mean squared distances, from the clusters' sums and one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(body, "<f8").reshape(-1, dims)
-                length, rows, out = (x * x).sum(1), np.arange(len(x)), []
-                for k, own in centres.items():
-                    labels = squares(x, own).argmin(1)
-                    count = sums[k][:, 0]
-                    apart = length[:, None] * count + sums[k][:, 2] - 2.0 * x @ sums[k][:, 3:].T
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        inner = apart[rows, labels] / (count[labels] - 1)
-                        mean = np.where(count > 0, apart / count, np.inf)
-                        mean[rows, labels] = np.inf
-                        outer = mean.min(1)
-                        value = (outer - inner) / np.maximum(outer, inner)
-                    value[(count[labels] <= 1) | ~np.isfinite(outer) | ~np.isfinite(value)] = 0.0
-                    out.append(np.array([value.sum(), len(x)]).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(centres), pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array(out, pa.binary())],
-                    names=["k", "block", "sums"])
+        for block, x in blocks_in(batches, dims):
+            length, rows, out = (x * x).sum(1), np.arange(len(x)), []
+            for k, own in centres.items():
+                labels = squares(x, own).argmin(1)
+                count = sums[k][:, 0]
+                apart = length[:, None] * count + sums[k][:, 2] - 2.0 * x @ sums[k][:, 3:].T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    inner = apart[rows, labels] / (count[labels] - 1)
+                    mean = np.where(count > 0, apart / count, np.inf)
+                    mean[rows, labels] = np.inf
+                    outer = mean.min(1)
+                    value = (outer - inner) / np.maximum(outer, inner)
+                value[(count[labels] <= 1) | ~np.isfinite(outer) | ~np.isfinite(value)] = 0.0
+                out.append(np.array([value.sum(), len(x)]).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(centres), pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array(out, pa.binary())],
+                names=["k", "block", "sums"])
 
     found = collected(packed.mapInArrow(run, SUMS_SCHEMA), blocks, 2)
     return {k: float(value[0, 0] / value[0, 1]) for k, value in found.items()}

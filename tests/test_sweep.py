@@ -71,3 +71,19 @@ def test_blocks_added_in_two_steps_give_the_same(spark, monkeypatch):
 def test_no_rows_are_an_error(spark):
     with pytest.raises(ValueError, match="no rows"):
         models.kmeans_sweep(points(spark).limit(0), ["a", "b"], [2])
+
+
+def test_tasks_take_few_blocks_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK", 16)
+    packed = s.settle(s.pack_blocks(points(spark).coalesce(1), ["a", "b"]), "blocks")
+
+    def most(batches):
+        yield s.pa.RecordBatch.from_pydict({"most": [max(b.num_rows for b in batches)]})
+
+    before = spark.conf.get(s.BATCH_CONF)
+    with s.few_at_once(spark):
+        assert packed.coalesce(1).mapInArrow(most, "most long").first()[0] <= s.TAKEN
+    assert spark.conf.get(s.BATCH_CONF) == before
+    expected = s.sweep(points(spark).coalesce(1), ["a", "b"], [3], 657, 20)
+    monkeypatch.setattr(s, "few_at_once", lambda session: s.contextmanager(lambda: (yield))())
+    assert np.allclose(expected, s.sweep(points(spark).coalesce(1), ["a", "b"], [3], 657, 20))
