@@ -73,6 +73,15 @@ def test_no_rows_are_an_error(spark):
         models.kmeans_sweep(points(spark).limit(0), ["a", "b"], [2])
 
 
+def test_first_centres_come_from_rows_and_not_from_values(spark, monkeypatch):
+    monkeypatch.setattr(s, "START_ROWS", 200)
+    for value in range(3):  # A hash of the values takes all copies of a value or none.
+        place = F.pow(F.lit(40.0), F.col("id") % 2 + 1) * (F.col("id") % 4 >= 2).cast("double") + F.col("id") % 2 + value
+        rows = spark.range(4000).select(place.alias("a"), (place * 3 + value).alias("b"))
+        found = models.kmeans_sweep(rows, ["a", "b"], [4]).first()
+        assert found["inertia"] == pytest.approx(0, abs=1e-6) and found["silhouette"] == pytest.approx(1)
+
+
 def test_tasks_take_few_blocks_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(s, "BLOCK", 16)
     packed = s.settle(s.pack_blocks(points(spark).coalesce(1), ["a", "b"]), "blocks")
