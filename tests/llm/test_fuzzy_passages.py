@@ -109,3 +109,40 @@ def test_rows_of_one_id_and_rows_without(spark):
     assert {(r["doc_id"], r["source_doc_id"], r["start_word"], r["n_words"]) for r in found} == {(2, 1, 30, 60)}
     again = sd.repeated_passages(spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(2)).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+
+
+def test_partners_beyond_the_nearest_and_the_first_holder(spark):
+    """Two documents share a passage whose seeds other documents hold before the first and between the two."""
+    draw = random.Random(9)
+
+    def some(n):
+        return [draw.choice(VOCABULARY) for _ in range(n)]
+
+    shared = some(60)
+    parts = [shared[i:i + 15] for i in range(0, 60, 15)]
+    # Of each stretch two strangers hold it before the pair, two between, and the latter hold their own edits around.
+    strangers = [some(40) + part + some(40) for _ in range(4) for part in parts]
+    # Halves that together hold all longer seeds, and each less than a passage.
+    halves = [some(40) + shared[i:i + 45] + some(40) for i in (0, 8, 15)]
+    one, two = (some(40) + shared + some(40) for _ in range(2))
+    docs = [*strangers[:8], *halves, one, *strangers[8:], *[some(40) + shared[i:i + 45] + some(40) for i in (0, 8, 15)], two]
+    rows = [(i, " ".join(words)) for i, words in enumerate(docs)]
+    found = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    first, last = len(strangers[:8]) + len(halves), len(docs) - 1
+    assert (last, first, 40, 60, 40) in {
+        (r["doc_id"], r["source_doc_id"], r["start_word"], r["n_words"], r["source_start"]) for r in found}
+
+
+def test_masked_pairs_agree_with_brute_force(monkeypatch):
+    monkeypatch.setattr(sd, "SMALL", 4)
+    monkeypatch.setattr(sd, "TILE", 3)
+    rng = np.random.default_rng(3)
+    seed = np.sort(rng.integers(0, 30, 200))
+    ids = rng.integers(0, 9, 200)
+    order = np.lexsort((ids, seed))
+    seed, ids = seed[order], ids[order]
+    asked, held = (np.uint64(1) << rng.integers(0, 4, 200).astype(np.uint64) for _ in range(2))
+    asked[::3], held[::5] = 0, 0
+    found = [pair for x, y in sd.common_bits(seed, ids, asked, held) for pair in zip(x.tolist(), y.tolist())]
+    want = {(i, j) for i in range(200) for j in range(200) if seed[i] == seed[j] and ids[j] < ids[i] and asked[i] & held[j]}
+    assert len(found) == len(set(found)) and set(found) == want
