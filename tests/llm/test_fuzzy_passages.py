@@ -141,3 +141,55 @@ def test_masked_pairs_agree_with_brute_force(monkeypatch):
     found = [pair for x, y in sd.common_bits(seed, ids, asked, held) for pair in zip(x.tolist(), y.tolist())]
     want = {(i, j) for i in range(200) for j in range(200) if seed[i] == seed[j] and ids[j] < ids[i] and asked[i] & held[j]}
     assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_runs_of_frequent_words_are_linked_in_proportion(spark, monkeypatch):
+    """Runs of one word and of two, each longer than those before: the second round asks one holder and not all."""
+    settled = {}
+    settle = sd.settle_alone
+
+    def counted(df, name):
+        settled[name] = settle(df, name)
+        return settled[name]
+
+    monkeypatch.setattr(sd, "settle_alone", counted)
+    draw = random.Random(10)
+    rows, runs = [], []
+    for i in range(40):
+        own = [[f"{c}{i}x{k}" for k in range(80)] for c in "abc"]
+        words = own[0] + ["the"] * (60 + 4 * i) + own[1] + ["so", "on"] * (30 + draw.randint(0, 60)) + own[2]
+        rows.append((i, " ".join(words)))
+        runs.append((80, 140 + 4 * i, sum(word in ("so", "on") for word in words)))
+    # No earlier run is as long as a passage, but one is alike to 0.8.
+    rows += [(40, " ".join(["well"] * 44)), (41, " ".join(["well"] * 53))]
+    found = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    covered = defaultdict(set)
+    for r in found:
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["start_word"] + r["n_words"]))
+    for i, (begin, end, pairs) in enumerate(runs[1:], 1):
+        assert set(range(begin, end)) <= covered[i]
+        assert len(set(range(end + 80, end + 80 + pairs)) - covered[i]) <= 2
+    assert len(covered[41]) >= 52
+    assert settled["rest"].where("not spare").count() <= 4 * len(rows)
+
+
+def test_common_neighbours_agree_with_brute_force(monkeypatch):
+    monkeypatch.setattr(sd, "SMALL", 4)
+    monkeypatch.setattr(sd, "TILE", 3)
+    monkeypatch.setattr(sd, "HANDED", 50)
+    rng = np.random.default_rng(4)
+    seeds, ids = np.sort(rng.integers(0, 6, 120)), rng.integers(0, 15, 120)
+    text = rng.integers(0, 3, 120)
+    order = np.lexsort((ids, text, seeds))
+    seeds, ids, text = seeds[order], ids[order], text[order]
+    new = np.append(True, (np.diff(seeds) != 0) | (np.diff(text) != 0))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    holder = np.sort(np.append(np.arange(120), rng.integers(0, 120, 240)))
+    codes = rng.integers(0, 40, 360).astype(np.uint32)
+    found = {pair for x, y in sd.common_neighbours(seeds, ids, holder, first, codes) for pair in zip(x.tolist(), y.tolist())}
+    asked, held = defaultdict(set), defaultdict(set)
+    for row, code in zip(holder.tolist(), codes.tolist()):
+        held[first[row]].add(code >> 1)
+        if code & 1 and ids[row] == ids[first[row]]:
+            asked[row].add(code >> 1)
+    assert found == {(i, j) for i in asked for j in held if seeds[i] == seeds[j] and ids[j] < ids[i] and asked[i] & held[j]}
