@@ -193,3 +193,56 @@ def test_common_neighbours_agree_with_brute_force(monkeypatch):
         if code & 1 and ids[row] == ids[first[row]]:
             asked[row].add(code >> 1)
     assert found == {(i, j) for i in asked for j in held if seeds[i] == seeds[j] and ids[j] < ids[i] and asked[i] & held[j]}
+
+
+def test_links_of_many_pairs_are_joined_at_once(monkeypatch):
+    calls = []
+    join = sd.equal_runs
+    monkeypatch.setattr(sd, "equal_runs", lambda *given: (calls.append(1), join(*given))[1])
+    places = np.arange(0, 60, 3)
+    links = np.concatenate([
+        np.stack([np.full(20, v) for v in (i + 1, 0, i + 1, 0, 0, 0)] + [places + 10, places + i, np.full(20, sd.SEED_WORDS)])
+        for i in range(300)], axis=1)
+    table = sd.pa.Table.from_batches([sd.packed_rows(sd.LINK, np.zeros(links.shape[1], np.int64), links)])
+    found = sd.chain_part(table).to_pylist()
+    assert sorted((r["id"], r["x"], r["x_end"], r["y"], r["y_end"], r["spare"]) for r in found) == [
+        (i + 1, 10, 71, i, i + 61, False) for i in range(300)]
+    assert len(calls) == 1
+    # Blocks of a few links give the same.
+    monkeypatch.setattr(sd, "CHAINED", 30)
+    assert sorted(map(str, sd.chain_part(table).to_pylist())) == sorted(map(str, found))
+
+
+def test_blocks_of_pairs_agree_with_each_pair_alone():
+    rng = np.random.default_rng(11)
+    spans = [tuple(rng.integers(0, 6, rng.integers(1, 40)).astype(np.uint32) for _ in "ab") for _ in range(60)]
+    pairs = sd.Pairs(*[[span[k].tobytes() for span in spans] for k in (0, 1)])
+    good = pairs.can_match(12, 0.8)
+    ends = rng.integers(-5, 5, (60, 2))
+    pair, x, y = pairs.matches(np.ones(60, bool), ends)
+    assert good.any() and not good.all()
+    for i, (a, b) in enumerate(spans):
+        def stretch(one, other, size):
+            held = np.isin(one, other)
+            return any(held[j:k].mean() >= 0.8 - 1e-9 for j in range(len(one)) for k in range(j + size, len(one) + 1))
+        assert good[i] == (stretch(a, b, 12) and stretch(b, a, 10))
+        want = set()
+        for p in range(len(a) - 3):
+            line = np.rint(p + ends[i, 0] + (ends[i, 1] - ends[i, 0]) * p / len(a))
+            held = [q for q in range(len(b) - 3) if (a[p:p + 4] == b[q:q + 4]).all()]
+            want |= {(p, max(q for q in held if q < line))} if any(q < line for q in held) else set()
+            want |= {(p, min(q for q in held if q >= line))} if any(q >= line for q in held) else set()
+        assert set(zip(x[pair == i].tolist(), y[pair == i].tolist())) == want
+
+
+def test_gapped_extension_agrees_with_a_table():
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        a, b = (rng.integers(0, 5, rng.integers(0, sd.MARGIN + 1)).tolist() for _ in "ab")
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, p in enumerate(a):
+            for j, q in enumerate(b):
+                table[i + 1, j + 1] = table[i, j] + 1 if p == q else max(table[i, j + 1], table[i + 1, j])
+        score = 4 * table - np.arange(len(a) + 1)[:, None] - np.arange(len(b) + 1)
+        i, j = np.unravel_index(score.argmax(), score.shape)
+        assert sd.gapped_extension(a, b) == (i, j, table[i, j])
