@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 
@@ -246,3 +247,29 @@ def test_gapped_extension_agrees_with_a_table():
         score = 4 * table - np.arange(len(a) + 1)[:, None] - np.arange(len(b) + 1)
         i, j = np.unravel_index(score.argmax(), score.shape)
         assert sd.gapped_extension(a, b) == (i, j, table[i, j])
+
+
+def test_links_take_little_room_and_come_back_whole():
+    rng = np.random.default_rng(21)
+    pairs = rng.integers(0, 1 << 40, (500, 6))
+    which = rng.permutation(np.repeat(np.arange(500), 40))
+    x = rng.integers(0, 400, len(which))
+    links = np.concatenate([pairs[which].T, [x, x + which % 50, np.full(len(which), sd.SEED_WORDS)]])
+    out = sd.packed_links(links, 7)
+    back = sd.unpacked_rows(sd.pa.Table.from_batches([out]), sd.LINK_FIELDS)
+    assert sorted(map(tuple, back.T.tolist())) == sorted(map(tuple, links.T.tolist()))
+    assert sorted(out.column("part").to_pylist()) == sorted(set(sd.dealt(7, links[1], links[2], links[6] >> sd.STRETCH).tolist()))
+    plain = len(sd.packed(np.ascontiguousarray(links).tobytes()))
+    assert sum(len(x) for x in out.column("body").to_pylist()) < plain / 2
+
+
+def test_links_are_deleted_when_they_are_chained(spark, monkeypatch):
+    draw = random.Random(5)
+    rows, _ = planted(draw, (60,), (0.0,), 3)
+    settled = {}
+    settle = sd.settle
+    monkeypatch.setattr(sd, "settle", lambda df, name: settled.setdefault(name, settle(df, name)))
+    found = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.count() >= 3
+    kept = {name for name, table in settled.items() if all(Path(file.removeprefix("file:")).exists() for file in table.inputFiles())}
+    assert kept == {"chains", "passages", "rest"} and {"links", "shared_keys"} <= set(settled)
